@@ -110,8 +110,8 @@ BASE_RULES = (
 )
 RULES = (
     *BASE_RULES,
-    Rule("symbols", ("n_symbols", "word_chars"), lambda p: 100 * p.n_symbols > 10 * p.word_chars),
-    Rule("duplicate_lines", ("n_lines", "n_dup_lines"), lambda p: 100 * p.n_dup_lines > 30 * p.n_lines),
+    Rule("symbols", ("n_symbols", "n_words"), lambda p: 100 * p.n_symbols > 20 * p.n_words),
+    Rule("duplicate_lines", ("n_lines", "n_dup_lines"), lambda p: 100 * p.n_dup_lines > 50 * p.n_lines),
     Rule("word_length", ("n_words", "word_chars"), lambda p: p.word_chars < 2 * p.n_words or p.word_chars > 25 * p.n_words),
     Rule("few_letters", ("letter_bytes", "word_bytes"), lambda p: 100 * p.letter_bytes < 60 * p.word_bytes),
 )

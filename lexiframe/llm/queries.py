@@ -40,7 +40,7 @@ m AS (SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_char
       FROM t LEFT JOIN s USING (k) LEFT JOIN r USING (k) LEFT JOIN l USING (k))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 20 * n_words OR 100 * n_dup_lines > 50 * n_lines
             OR word_chars < 2 * n_words OR word_chars > 25 * n_words OR 100 * letter_bytes < 60 * word_bytes) AS kept
 FROM m
 """
