@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexiframe.llm.chat import format_chats, masked_text, read_turns, text_parts
+from lexiframe.llm.common import cut
+from lexiframe.llm.licenses import scan_licenses
+from lexiframe.llm.mixing import draws, plan_mix, with_copies
 from lexiframe.llm.quality import judge
 from lexiframe.llm.shards import shard_documents
 from lexiframe.registry import Registry
@@ -12,6 +16,41 @@ from lexiframe.sources.tables import table
 SHARDS = 8
 
 
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op2_chat(spark, d):
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    messages = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    chats = format_chats(messages.select("conv_id", "turn", "role", text_parts(F.col("text")).alias("parts")))
+    turns = read_turns(F.col("formatted"))
+    spoken = F.array_join(F.transform(turns, lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    masked = masked_text(F.col("formatted"), F.col("loss_spans"))
+    return chats.select(
+        "conv_id",
+        F.size(turns).cast("long").alias("n_turns"),
+        F.sha2(spoken, 256).alias("turns_sha256"),
+        F.length(masked).cast("long").alias("loss_chars"),
+        F.sha2(masked, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op4_licenses(spark, d):
+    return scan_licenses(table(spark, d, "documents")).drop("spans")
+
+
+def op5_mix(spark, d):
+    rows = cut(draws(table(spark, d, "documents").select("doc_id", "text", "source"), "doc_id", "text", "source").withColumn("doc", F.struct("doc.doc_id")))
+    mixed = with_copies(rows, plan_mix(rows))
+    return mixed.select("doc.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op10_quality(spark, d):
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = judge(table(spark, d, "documents"), measures=measures)
@@ -46,8 +85,46 @@ FROM m
 """
 
 
+OP2_SQL = r"""
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')))::BIGINT AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+OP5_SQL = r"""
+WITH t AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, coalesce(doc_id::VARCHAR, '') AS key,
+                  ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM t GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s),
+l AS (SELECT *, 3.0::DOUBLE * source_size / weight AS per,
+             (sum(source_size) OVER () - coalesce(sum(3.0::DOUBLE * source_size) OVER o, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS level
+      FROM w WINDOW o AS (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT arg_min(level, per) AS share FROM l WHERE level <= per),
+g AS (SELECT source, source_size, CASE WHEN per < share THEN 3.0::DOUBLE * source_size ELSE weight * share END AS target FROM l, c),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS due FROM g),
+q AS (SELECT *, floor(due)::INT AS whole, due - floor(due) AS f, (due - floor(due)) * source_size AS gap FROM p),
+r AS (SELECT t.*, source_size, target, whole, f, gap, CASE WHEN f > 0 THEN u / (1 - u) * (1 - f) / f END AS rank FROM t JOIN q ON t.source IS NOT DISTINCT FROM q.source),
+h AS (SELECT *, f > 0 AND gap > 0 AND sum(size) OVER (PARTITION BY source ORDER BY rank, key) <= gap AS first FROM r),
+h2 AS (SELECT *, gap - coalesce(sum(size) FILTER (first) OVER (PARTITION BY source), 0) AS gap2 FROM h),
+h3 AS (SELECT *, f > 0 AND NOT first AND size > 0 AND size <= gap2 AS may FROM h2),
+k AS (SELECT *, may AND sum(CASE WHEN may THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank, key) <= gap2 AS second FROM h3),
+k2 AS (SELECT *, gap2 - coalesce(sum(size) FILTER (second) OVER (PARTITION BY source), 0) AS gap3 FROM k),
+k3 AS (SELECT *, f > 0 AND NOT first AND NOT second AND size > 0 AND abs(size - gap3) < gap3 AS near FROM k2),
+z AS (SELECT *, near AND row_number() OVER (PARTITION BY source, near ORDER BY abs(size - gap3), rank, key, size) = 1 AS last FROM k3)
+SELECT doc_id, size, source_size, target, size * (whole + (first OR second OR last)::INT)::BIGINT AS taken FROM z
+"""
+
+
 def catalogue() -> Registry:
     r = Registry()
+    r.query("op2_chat", "chat formatting with typed parts", OP2_SQL)(op2_chat)
+    r.query("op4_licenses", "license scans with bounded edits")(op4_licenses)
+    r.query("op5_mix", "mixing sources by Pareto order sampling", OP5_SQL)(op5_mix)
     r.query("op10_quality", "quality rules as a short-circuit cascade", OP10_SQL)(op10_quality)
     r.query("op9_shards", "sharding through fixed virtual slots")(op9_shards)
     return r
