@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexiframe.llm import langid, toxicity
 from lexiframe.llm.chat import format_chats, masked_text, read_turns, text_parts
 from lexiframe.llm.common import cut
 from lexiframe.llm.licenses import scan_licenses
@@ -46,6 +47,22 @@ def op2_chat(spark, d):
     )
 
 
+def held_out() -> F.Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def op3_toxicity(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, toxicity.learn(docs, table(spark, d, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op7_language(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs, langid.learn(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op4_licenses(spark, d):
     return scan_licenses(table(spark, d, "documents")).drop("spans")
 
@@ -141,6 +158,8 @@ def catalogue() -> Registry:
     r = Registry()
     r.query("op1_near_duplicates", "near duplicates by HyperMinHash", OP1_SQL)(op1_near_duplicates)
     r.query("op2_chat", "chat formatting with typed parts", OP2_SQL)(op2_chat)
+    r.query("op3_toxicity", "toxicity by boosted trees")(op3_toxicity)
+    r.query("op7_language", "language identification by output codes")(op7_language)
     r.query("op4_licenses", "license scans with bounded edits")(op4_licenses)
     r.query("op5_mix", "mixing sources by Pareto order sampling", OP5_SQL)(op5_mix)
     r.query("op10_quality", "quality rules as a short-circuit cascade", OP10_SQL)(op10_quality)
