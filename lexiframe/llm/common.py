@@ -75,6 +75,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def hash_share(id_col: str) -> F.Column:
+    """A number in [0, 1) from a hash of the id."""
+    return F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 40)) / float(1 << 40)
+
+
+def hash_sample(rows: DataFrame, id_col: str, most: int, of: int) -> DataFrame:
+    """About ``most``, never more, of ``of`` rows, by a hash of the id; only about so many rows are moved."""
+    if of > most:
+        rows = rows.where(hash_share(id_col) < most * 1.05 / of)
+    return rows.orderBy(F.xxhash64(id_col), id_col).limit(most)
+
+
 def training_row(id_col: str) -> F.Column:
     """True for the two thirds of the ids that a classifier may learn from; a null id is held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 != 1, F.lit(False))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexiframe.llm import langid, toxicity
+from lexiframe.llm.ann import nearest
 from lexiframe.llm.chat import format_chats, masked_text, read_turns, text_parts
 from lexiframe.llm.common import cut
 from lexiframe.llm.licenses import scan_licenses
@@ -80,6 +81,10 @@ def op10_quality(spark, d):
     return judged.select("doc_id", *measures, failed.alias("base_failed"), "kept")
 
 
+def op8_neighbours(spark, d):
+    return nearest(table(spark, d, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op9_shards(spark, d):
     placed = shard_documents(table(spark, d, "documents"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -163,5 +168,6 @@ def catalogue() -> Registry:
     r.query("op4_licenses", "license scans with bounded edits")(op4_licenses)
     r.query("op5_mix", "mixing sources by Pareto order sampling", OP5_SQL)(op5_mix)
     r.query("op10_quality", "quality rules as a short-circuit cascade", OP10_SQL)(op10_quality)
+    r.query("op8_neighbours", "nearest neighbours over balanced posting lists")(op8_neighbours)
     r.query("op9_shards", "sharding through fixed virtual slots")(op9_shards)
     return r
