@@ -6,12 +6,13 @@ import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows handled at once inside a Python worker; Spark bounds the bytes of each Arrow batch itself.
-SLICE_ROWS = 1000
+#: Rows and bytes of text handled at once inside a Python worker; Spark bounds the bytes of each Arrow batch itself.
+SLICE_ROWS, SLICE_BYTES = 1000, 4 << 20
 #: ASCII white space, the separators of words throughout.
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -24,10 +25,18 @@ def binary_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text_column: int | str) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with at most ``SLICE_ROWS`` rows and, unless a text alone is longer, ``SLICE_BYTES`` of text."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(at, SLICE_ROWS)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_column)), 0).to_pylist()
+        first, total = 0, 0
+        for at, size in enumerate(sizes):
+            if at > first and (at - first >= SLICE_ROWS or total + size > SLICE_BYTES):
+                yield batch.slice(first, at - first)
+                first, total = at, 0
+            total += size
+        if first < len(sizes):
+            yield batch.slice(first)
 
 
 def measure_texts(docs: DataFrame, id_col: str, text_col: str, make: Callable[[], Measure], fields: Sequence[T.StructField]) -> DataFrame:
@@ -41,7 +50,7 @@ def measure_texts(docs: DataFrame, id_col: str, text_col: str, make: Callable[[]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = make()
-        for part in slices(batches):
+        for part in slices(batches, 1):
             columns = [part.column(0), *measure(binary_texts(part.column(1)))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -53,7 +62,7 @@ def keep_rows(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accept = make()
-        for part in slices(batches):
+        for part in slices(batches, text_col):
             yield part.filter(pa.array(accept(binary_texts(part.column(text_col))), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -11,12 +11,15 @@ from lexiframe.llm.common import cut
 from lexiframe.llm.licenses import scan_licenses
 from lexiframe.llm.minhash import near_duplicates
 from lexiframe.llm.mixing import draws, plan_mix, with_copies
+from lexiframe.llm.pieces import decode_ids, encode_texts, load_pieces
 from lexiframe.llm.quality import judge
 from lexiframe.llm.shards import shard_documents
 from lexiframe.registry import Registry
 from lexiframe.sources.tables import table
 
 SHARDS = 8
+#: A SentencePiece model file, read on the driver.
+PIECES_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -58,6 +61,13 @@ def op3_toxicity(spark, d):
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_pieces(spark, d):
+    model = load_pieces(PIECES_PATH)
+    decoded = decode_ids(encode_texts(table(spark, d, "documents"), model), model)
+    text = F.col("text").cast("binary")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32", F.length("text").cast("long").alias("n_chars"), (F.crc32(text) == F.col("text_crc32")).alias("round_trip"))
+
+
 def op7_language(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     found = langid.identify(docs, langid.learn(docs))
@@ -164,6 +174,7 @@ def catalogue() -> Registry:
     r.query("op1_near_duplicates", "near duplicates by HyperMinHash", OP1_SQL)(op1_near_duplicates)
     r.query("op2_chat", "chat formatting with typed parts", OP2_SQL)(op2_chat)
     r.query("op3_toxicity", "toxicity by boosted trees")(op3_toxicity)
+    r.query("op6_pieces", "SentencePiece encoding and decoding")(op6_pieces)
     r.query("op7_language", "language identification by output codes")(op7_language)
     r.query("op4_licenses", "license scans with bounded edits")(op4_licenses)
     r.query("op5_mix", "mixing sources by Pareto order sampling", OP5_SQL)(op5_mix)
