@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lexiframe.plans import state
+from lexiframe.plans import feed, layers, parsing, relational, state, structure, wording
 from lexiframe.registry import Registry
 
-FAMILIES = (state,)
+FAMILIES = (state, layers, structure, wording, parsing, feed, relational)
 
 
 def catalogue() -> Registry:
