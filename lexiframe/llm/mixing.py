@@ -84,8 +84,8 @@ def cycling_weights(sources: DataFrame, cycle: int = 3) -> DataFrame:
 
 
 def pareto_rank(u: Column, p: Column) -> Column:
-    """Random odds over inclusion odds."""
-    return u / (1 - u) * (1 - p) / p
+    """Random odds over inclusion odds; null where nothing is drawn."""
+    return F.try_divide(u / (1 - u) * (1 - p), p)
 
 
 def head_of(rows: DataFrame, plan: DataFrame, eligible: Column, gap: str, name: str) -> DataFrame:
