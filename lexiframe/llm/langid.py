@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiframe.llm.common import LOWER, Measure, keep_rows, measure_texts, training_row
+from lexiframe.llm.common import LOWER, Measure, hash_share, keep_rows, measure_texts, training_row
 
 UNDETERMINED = "und"
 #: Rows learnt from in all, shared evenly by the languages, and the longest text among them.
 SAMPLE_ROWS, SAMPLE_CHARS = 4000, 30_000
 BUCKETS = 1 << 16
+#: Counts of up to so many languages are broadcast.
+BROADCAST_LANGUAGES = 10_000
 #: Passes over the sample, learning rate, and how strongly weights are held small.
 EPOCHS, RATE, DECAY = 20, 0.5, 1e-6
 #: Share of the sample on which the bits' reliability is measured.
@@ -155,11 +157,15 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     ``sample_rows`` of them are broadcast to fetch the texts.
     """
     labelled = docs.where(training_row(id_col) & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    languages = labelled.select("lang").distinct().count()
+    per_language = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = per_language.count()
     if not languages:
         return []
+    share = max(1, sample_rows // languages)
+    shares = F.broadcast(per_language) if languages <= BROADCAST_LANGUAGES else per_language
+    few = labelled.join(shares, "lang").where(hash_share("id") < share * 1.05 / F.col("n"))
     of_language = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = labelled.withColumn("n", F.row_number().over(of_language)).where(F.col("n") <= max(1, sample_rows // languages)).select("id").limit(sample_rows)
+    chosen = few.withColumn("at", F.row_number().over(of_language)).where(F.col("at") <= share).select("id").limit(sample_rows)
     text = F.col(text_col).cast("string")
     taken = docs.where(F.col(lang_col).isNotNull() & text.isNotNull() & (F.length(text) <= SAMPLE_CHARS))
     taken = taken.select(F.col(id_col).alias("id"), text.alias("text"), F.col(lang_col).cast("string").alias("lang"))
