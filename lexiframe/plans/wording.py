@@ -7,6 +7,7 @@ from pyspark.sql.functions import udtf
 
 from lexiframe.functions import text as tx
 from lexiframe.registry import Registry
+from lexiframe.session import expose_package
 from lexiframe.sources.tables import table
 
 
@@ -201,6 +202,7 @@ def register(r: Registry) -> None:
             SELECT o_orderkey, (generate_subscripts(tokens, 1) - 1)::INT AS pos, unnest(tokens) AS token FROM t""",
     )
     def _(spark, d):
+        expose_package(spark)
         spark.udtf.register("lexi_tokens", udtf(Tokens, returnType="o_orderkey bigint, pos int, token string"))
         templates(spark, d).select("o_orderkey", "template").createOrReplaceTempView("lexi_templates")
         return spark.sql("SELECT u.* FROM lexi_templates t, LATERAL lexi_tokens(t.o_orderkey, t.template) u")

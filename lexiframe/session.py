@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -19,3 +22,15 @@ def build_session(master: str = "local[8]", app: str = "lexiframe", **extra: str
     spark = SparkSession.builder.master(master).appName(app).config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def expose_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    That suffices where the path is the same everywhere, as on one machine;
+    elsewhere the package has to be shipped to the executors.
+    """
+    root, environment = str(Path(__file__).resolve().parent.parent), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
