@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiframe.llm.common import hash_sample
+from lexiframe.llm.common import hash_sample, prepared
 
 #: Vectors that the index is fitted on, and queries among them that the ratio is fitted on.
 SAMPLE_ROWS, TUNING_QUERIES = 16_384, 256
@@ -230,7 +230,7 @@ def in_lists(rows: DataFrame, index: Index, k: int, queries: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), *taken.columns, pa.array(floor[row])], names=["list", "id", "v", "floor"])
 
     fitting = rows.where(F.size("v") == index.dimension)
-    return fitting.mapInArrow(run, f"list int, id {rows.schema['id'].dataType.simpleString()}, v array<double>, floor double")
+    return prepared(fitting).mapInArrow(run, f"list int, id {rows.schema['id'].dataType.simpleString()}, v array<double>, floor double")
 
 
 def blocks(rows: DataFrame, own: dict[int, int], others: dict[int, int], own_name: str, other_name: str) -> DataFrame:

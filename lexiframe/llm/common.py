@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiframe.session import expose_package
+
 #: Rows and bytes of text handled at once inside a Python worker; Spark bounds the bytes of each Arrow batch itself.
-SLICE_ROWS, SLICE_BYTES = 1000, 4 << 20
+SLICE_ROWS, SLICE_BYTES = 1000, 2 << 20
 #: ASCII white space, the separators of words throughout.
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -39,13 +41,22 @@ def slices(batches: Iterator[pa.RecordBatch], text_column: int | str) -> Iterato
             yield batch.slice(first)
 
 
+def prepared(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches suit whole texts and whose Python workers find this package."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= SLICE_ROWS:
+        conf.set(name, str(SLICE_ROWS))
+    expose_package(df.sparkSession)
+    return df
+
+
 def measure_texts(docs: DataFrame, id_col: str, text_col: str, make: Callable[[], Measure], fields: Sequence[T.StructField]) -> DataFrame:
     """``id_col`` and, beside it, the columns that ``make()(texts)`` returns for each batch of texts.
 
     Other columns of ``docs`` are not read. ``make`` runs once in each task,
     so that a measure can keep a cache between batches.
     """
-    taken = docs.select(F.col(id_col), F.col(text_col).cast("string"))
+    taken = prepared(docs).select(F.col(id_col), F.col(text_col).cast("string"))
     schema = T.StructType([taken.schema[0], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +76,7 @@ def keep_rows(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list[
         for part in slices(batches, text_col):
             yield part.filter(pa.array(accept(binary_texts(part.column(text_col))), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return prepared(docs).mapInArrow(run, docs.schema)
 
 
 def long_field(name: str) -> T.StructField:

@@ -22,6 +22,7 @@ text are ignored. The model file is read on the driver.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
@@ -29,11 +30,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lexiframe.llm.common import Measure, long_field, measure_texts
+from lexiframe.llm.common import Measure, long_field, measure_texts, prepared
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -41,13 +41,12 @@ UNIGRAM, BPE = 1, 2
 #: How much worse than the worst piece an unknown code point is in a unigram model.
 UNKNOWN_PENALTY = 10.0
 BASE, LENGTH_KEY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-#: Bits of a key that a table of all prefixes in use tells apart.
-SIEVE_BITS = 20
-SIEVE_SHIFT = np.uint64(64 - SIEVE_BITS)
+#: Bits of a key's head.
+HEAD_BITS = 20
+HEAD_SHIFT = np.uint64(64 - HEAD_BITS)
 NEVER = np.iinfo(np.int32).max
 #: Units remembered by a worker, characters cut into units at once, and cells of a batch's substring table.
-CACHED_UNITS, STRETCH, CELLS = 600_000, 1 << 20, 1 << 19
-UNIT = regex.compile(r" *[^ \n]+|\n| +")
+CACHED_UNITS, STRETCH, CELLS = 600_000, 1 << 19, 1 << 19
 
 
 def powers(n: int) -> np.ndarray:
@@ -57,9 +56,9 @@ def powers(n: int) -> np.ndarray:
     return out
 
 
-def code_points(words: Sequence[str]) -> np.ndarray:
-    """One row of code points for each word, all of one length."""
-    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
+def code_points(joined: str, words: int) -> np.ndarray:
+    """One row of code points for each of so many words of one length."""
+    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(words, -1)
 
 
 def prefix_hashes(codes: np.ndarray) -> np.ndarray:
@@ -99,6 +98,33 @@ def merge_pairs(symbols: list[str], rank: dict[str, int]) -> tuple[list[str], tu
     return [p for p in parts if p is not None], last
 
 
+class KeyTable:
+    """Sorted 64-bit keys with values, and for each head of a key the place where keys with that head begin."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        if (self.keys[1:] == self.keys[:-1]).any():
+            raise ValueError("two entries share a key")
+        heads = (self.keys >> HEAD_SHIFT).astype(np.int64)
+        self.begin = np.searchsorted(heads, np.arange((1 << HEAD_BITS) + 1)).astype(np.int32)
+        self.used = self.begin[1:] > self.begin[:-1]
+        self.run = int((self.begin[1:] - self.begin[:-1]).max(initial=0))
+
+    def probe(self, key: np.ndarray, missing: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are in the table, and their values; ``missing`` for the others."""
+        found, out = np.zeros(key.shape, bool), np.full(key.shape, missing, np.int64)
+        maybe = np.nonzero(self.used[key >> HEAD_SHIFT])
+        asked = key[maybe]
+        first = self.begin[asked >> HEAD_SHIFT]
+        for step in range(self.run):
+            at = np.minimum(first + step, len(self.keys) - 1)
+            same = np.flatnonzero(self.keys[at] == asked)
+            place = tuple(axis[same] for axis in maybe)
+            found[place], out[place] = True, self.values[at[same]]
+        return found, out
+
+
 @dataclass
 class Pieces:
     """A model's pieces and the tables that the batched search probes."""
@@ -120,6 +146,7 @@ class Pieces:
         self.unknown = self.kinds.index(UNKNOWN)
         self.bytes = {int(self.pieces[i][3:5], 16): i for i, kind in enumerate(self.kinds) if kind == BYTE}
         self.cuttable = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        self.unit = self.unit_pattern()
         self.longest = max(map(len, self.ids), default=1)
         self.powers = powers(self.longest)
         self.score = np.array([*self.scores, 0.0], np.float32)
@@ -130,34 +157,26 @@ class Pieces:
             by_length[len(self.pieces[i])].append(i)
         keys, key_ids = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for length, own in by_length.items():
-            keys.append(self.keys_of(prefix_hashes(code_points([self.pieces[i] for i in own]))[:, -1], np.array([length])))
+            keys.append(self.keys_of(prefix_hashes(code_points("".join([self.pieces[i] for i in own]), len(own)))[:, -1], np.array([length])))
             key_ids.append(np.array(own))
-        order = np.argsort(np.concatenate(keys))
-        self.keys, self.key_ids = np.concatenate(keys)[order], np.concatenate(key_ids)[order]
-        if (self.keys[1:] == self.keys[:-1]).any():
-            raise ValueError("two pieces share a key")
-        self.sieve = np.zeros(1 << SIEVE_BITS, bool)
-        self.sieve[self.keys >> SIEVE_SHIFT] = True
+        self.table = KeyTable(np.concatenate(keys), np.concatenate(key_ids))
         self.shown = [self.piece_bytes(i) for i in range(len(self.pieces))]
         self.rank = {}
         if self.bpe:
             self.prepare_merges(normal)
 
+    def unit_pattern(self) -> re.Pattern:
+        """Spaces and what follows them, but not a mark that no piece has after a letter or digit."""
+        joined = {a + b for p in self.ids for a, b in zip(p, p[1:])}
+        after_word = {pair[1] for pair in joined if re.match(r"\w", pair[0])}
+        marks = {c for p in self.ids for c in p if not re.match(r"[\w\s]", c) and c != SPACE} - after_word
+        cut = rf" *\w++(?=[{re.escape(''.join(sorted(marks)))}])|" if marks else ""
+        return re.compile(cut + r" *[^ \n]+|\n| +")
+
     @staticmethod
     def keys_of(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return (hashes ^ (hashes >> np.uint64(29))) * BASE + lengths.astype(np.uint64) * LENGTH_KEY
 
-    def probe(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys are pieces, and their ids; most others fail at the sieve, the rest at the sorted keys."""
-        found, ids = np.zeros(key.shape, bool), np.full(key.shape, self.unknown)
-        maybe = np.nonzero(self.sieve[key >> SIEVE_SHIFT])
-        asked = key[maybe]
-        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-        same = self.keys[at] == asked
-        place = tuple(axis[same] for axis in maybe)
-        found[place], ids[place] = True, self.key_ids[at[same]]
-        return found, ids
-
     def piece_bytes(self, i: int) -> bytes:
         if self.kinds[i] == BYTE:
             return bytes([int(self.pieces[i][3:5], 16)])
@@ -213,8 +232,12 @@ class Pieces:
                 if a is not None and b is not None:
                     keys.append(a * n + b)
                     ranks.append(self.rank[piece])
-        order = np.argsort(np.array(keys, np.int64))
-        self.pair_keys, self.pair_ranks = np.array(keys, np.int64)[order], np.array(ranks, np.int64)[order]
+        self.merges = KeyTable(self.mixed(np.array(keys, np.int64)), np.array(ranks, np.int64))
+
+    @staticmethod
+    def mixed(pair: np.ndarray) -> np.ndarray:
+        """A pair's number spread over 64 bits; no two become equal."""
+        return pair.astype(np.uint64) * BASE
 
     def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each pair of pieces stays two pieces when its code points are merged from scratch.
@@ -230,8 +253,7 @@ class Pieces:
             a, b = left[rows], right[rows]
             next_a, next_b = right_edge[1][a, i], left_edge[1][b, j]
             key = right_edge[0][a, i] * n + left_edge[0][b, j]
-            at = np.minimum(np.searchsorted(self.pair_keys, key), max(0, len(self.pair_keys) - 1))
-            across = np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER) if len(self.pair_keys) else np.full(len(rows), NEVER)
+            across = self.merges.probe(self.mixed(key), NEVER)[1]
             spoilt = (across < next_a) & (across <= next_b)
             fine[rows[spoilt]] = False
             go = ~spoilt & ((next_a < NEVER) | (next_b < NEVER))
@@ -239,9 +261,11 @@ class Pieces:
             i, j, rows = (i + first)[go], (j + ~first)[go], rows[go]
         return fine
 
-    def viterbi(self, words: Sequence[str]) -> list[np.ndarray | None]:
-        """Piece ids of words of one length; None for those that have to be merged one pair at a time."""
-        codes = code_points(words)
+    def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For words of one length: piece ids at the right of each row, how many, and which rows need ``spelled``.
+
+        No ids for words that have to be merged one pair at a time.
+        """
         n, length = codes.shape
         hashes = prefix_hashes(codes)
         best = np.full((n, length + 1), -np.inf, np.float32)
@@ -254,7 +278,7 @@ class Pieces:
             sizes = np.arange(span, 0, -1)
             sub = hashes[:, end, None] - hashes[:, end - span : end] * self.powers[sizes]
             key = self.keys_of(sub, sizes)
-            found, ids = self.probe(key)
+            found, ids = self.table.probe(key, self.unknown)
             if self.bpe:
                 hard |= (found & self.open[ids]).any(axis=1)
                 step = np.where(found, np.float32(0), np.float32(-np.inf))
@@ -272,7 +296,7 @@ class Pieces:
             choice = total.argmax(axis=1)
             best[:, end], piece[:, end], back[:, end] = total[rows, choice], ids[rows, choice], sizes[choice]
         hard |= ~np.isfinite(best[:, length])
-        out = np.empty((n, length), np.int64)
+        out = np.full((n, length), -1, np.int32)
         count, at = np.zeros(n, int), np.full(n, length)
         live = rows[~hard]
         while len(live):
@@ -280,12 +304,12 @@ class Pieces:
             count[live] += 1
             at[live] -= back[live, at[live]]
             live = live[at[live] > 0]
-        return [None if hard[k] else out[k, length - count[k] :] for k in range(n)]
+        return out, count, hard | (out == self.unknown).any(axis=1)
 
-    def spelled(self, word: str, ids: Sequence[int]) -> list[int]:
-        """``ids`` with bytes for unknown code points; unknown ones without byte pieces that touch are one piece."""
+    def spelled(self, word: str, ids: Sequence[int] | None) -> bytes:
+        """Ids with bytes for unknown code points; unknown ones without byte pieces that touch are one piece in a unigram model."""
         out, at = [], 0
-        for i in ids:
+        for i in self.merged(word) if ids is None else ids:
             if i != self.unknown:
                 out.append(i)
                 at += len(self.pieces[i])
@@ -295,7 +319,7 @@ class Pieces:
             elif self.bpe or not out or out[-1] != self.unknown:
                 out.append(i)
             at += 1
-        return out
+        return np.array(out, np.int32).tobytes()
 
     def merged(self, word: str) -> list[int]:
         return [self.ids.get(s, self.unknown) for s in merge_pairs(list(word), self.tied_rank)[0]]
@@ -310,16 +334,15 @@ class Pieces:
             step = max(1, CELLS // max(1, length * self.longest))
             for first in range(0, len(own), step):
                 batch = own[first : first + step]
-                for unit, ids in zip(batch, self.viterbi([u.replace(" ", SPACE) for u in batch])):
-                    word = unit.replace(" ", SPACE)
-                    plain = self.merged(word) if ids is None else ids.tolist()
-                    out[unit] = np.array(self.spelled(word, plain), np.int32).tobytes()
+                ids, count, odd = self.viterbi(code_points("".join(batch).replace(" ", SPACE), len(batch)))
+                for unit, row, n, special in zip(batch, ids, count.tolist(), odd.tolist()):
+                    out[unit] = self.spelled(unit.replace(" ", SPACE), row[length - n :] if n else None) if special else row[length - n :].tobytes()
         return out
 
     def normalised(self, text: str) -> str:
         text = text.replace(SPACE, " ")
         if self.squeeze:
-            text = regex.sub(" +", " ", text.strip(" "))
+            text = re.sub(" +", " ", text.strip(" "))
         return text
 
     def encode(self, texts: Sequence[str], cache: dict[str, bytes]) -> list[np.ndarray]:
@@ -331,7 +354,7 @@ class Pieces:
             if text and self.dummy_prefix:
                 text = " " + text
             for part in stretches(text) if self.cuttable else [text] * bool(text):
-                waiting.append((k, UNIT.findall(part) if self.cuttable else [part]))
+                waiting.append((k, self.unit.findall(part) if self.cuttable else [part]))
                 held += len(part)
                 if held > 4 * STRETCH:
                     self.flush(waiting, out, cache)
@@ -343,8 +366,9 @@ class Pieces:
         needed = set().union(*(units for _, units in waiting))
         fresh = needed.difference(cache)
         if len(cache) + len(fresh) > CACHED_UNITS:
+            recent = {u: cache[u] for u in needed if u in cache}
             cache.clear()
-            fresh = needed
+            cache.update(recent)
         cache.update(self.encode_units(list(fresh)))
         for k, units in waiting:
             out[k].append(b"".join(map(cache.__getitem__, units)))
@@ -433,5 +457,5 @@ def decode_ids(encoded: DataFrame, model: Pieces, ids_col: str = "ids", text_col
             texts = [shared.value.decode(lists[k].values.to_numpy().tolist() if lists[k].is_valid else ()) for k in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return prepared(rows).mapInArrow(run, schema)
 
