@@ -307,7 +307,7 @@ class Pieces:
         return out, count, hard | (out == self.unknown).any(axis=1)
 
     def spelled(self, word: str, ids: Sequence[int] | None) -> bytes:
-        """Ids with bytes for unknown code points; unknown ones without byte pieces that touch are one piece in a unigram model."""
+        """Ids with bytes, if there are byte pieces, for unknown code points."""
         out, at = [], 0
         for i in self.merged(word) if ids is None else ids:
             if i != self.unknown:
@@ -316,7 +316,7 @@ class Pieces:
                 continue
             if self.bytes:
                 out += [self.bytes[b] for b in word[at].encode("utf-8", "surrogatepass")]
-            elif self.bpe or not out or out[-1] != self.unknown:
+            else:
                 out.append(i)
             at += 1
         return np.array(out, np.int32).tobytes()
@@ -360,7 +360,13 @@ class Pieces:
                     self.flush(waiting, out, cache)
                     held = 0
         self.flush(waiting, out, cache)
-        return [np.frombuffer(b"".join(parts), np.int32) for parts in out]
+        found = [np.frombuffer(b"".join(parts), np.int32) for parts in out]
+        return found if self.bytes else [self.collapsed(ids) for ids in found]
+
+    def collapsed(self, ids: np.ndarray) -> np.ndarray:
+        """Unknown pieces that touch, as one."""
+        unknown = ids == self.unknown
+        return ids[~(unknown & np.concatenate([[False], unknown[:-1]]))] if len(ids) else ids
 
     def flush(self, waiting: list[tuple[int, list[str]]], out: list[list[bytes]], cache: dict[str, bytes]) -> None:
         needed = set().union(*(units for _, units in waiting))
@@ -373,6 +379,8 @@ class Pieces:
         for k, units in waiting:
             out[k].append(b"".join(map(cache.__getitem__, units)))
         waiting.clear()
+        if not self.cuttable:
+            cache.clear()
 
     def decode(self, ids: Sequence[int]) -> str:
         text = b"".join([self.shown[i] for i in ids]).decode("utf-8", "replace")
