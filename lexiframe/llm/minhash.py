@@ -11,10 +11,12 @@ links connect.
    empty. A register keeps the leading-zero count and the ten bits after the
    leading one of the bucket's least hash value.
 3. Bands of four compressed registers become rows, sorted over the cluster by
-   band and by the registers that follow it. Within a band's run of equal
-   registers, each row is paired with the next few, so short runs give all
-   their pairs, and with the run's central rows, so that a long run costs a
-   few pairs a row. Runs are never gathered; a sort can cut them anywhere.
+   band and by the node's profile, one byte of each band's hash. Within a
+   band's run of equal registers, each row is paired with the next few, so
+   short runs give all their pairs. In a long run it is also paired with the
+   row whose profile agrees most with what the run mostly has: among copies of
+   one text, each edited elsewhere, that is the text. So a long run costs a few
+   pairs a row. Runs are never gathered; a sort can cut them anywhere.
 4. A pair's Jaccard index is estimated from equal registers, less the equality
    expected by chance for sets of their sizes; unlikely pairs end here.
 5. Pairs are confirmed on the full sets: first the best partner of each node;
@@ -44,14 +46,17 @@ from lexiframe.llm.components import contract
 
 SHINGLE, PERCENT = 5, 75
 REGISTERS, BAND = 128, 4
-#: Registers after the band by which rows of a run are sorted.
-TAIL = 8
-NEIGHBOURS, PIVOTS = 6, 2
+BANDS = REGISTERS // BAND
+#: Bytes of a row's key: band number, its registers, and the profile.
+HEAD = 1 + 2 * BAND
+KEY = HEAD + BANDS
+#: Rows after it that a row is paired with, in short runs and in long ones, and central rows of a long run.
+NEIGHBOURS, LONG_RUN_NEIGHBOURS, PIVOTS = 6, 2, 1
 #: Pairs estimated this many standard deviations under the threshold are dropped.
 SLACK = 5.0
 #: Up to so many ids are broadcast to pick the texts whose sets are needed.
 BROADCAST_IDS = 200_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 SEEDS = np.random.default_rng(20_240_229).integers(1, 2**63, (2, REGISTERS), np.uint64)
 SALT, MULTIPLIER = SEEDS[0], SEEDS[1] | np.uint64(1)
 MIX = np.random.default_rng(7).integers(1, 2**63, SHINGLE, np.uint64) | np.uint64(1)
@@ -115,6 +120,11 @@ def registers(sets: Sequence[np.ndarray], chunk: int = 40_000) -> np.ndarray:
     return out
 
 
+def profile(registers: np.ndarray) -> np.ndarray:
+    """One byte for each band of each row of registers."""
+    return (finish(np.ascontiguousarray(registers).view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+
+
 def compress(minima: np.ndarray) -> np.ndarray:
     """6 bits for the leading zeros and the 10 bits after the leading one: the head of a float's bits."""
     bits = minima.astype(np.float64).view(np.uint64) >> np.uint64(42)
@@ -139,7 +149,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, n_shingles, digest, registers``; the last two are null for an empty set."""
+    """``id, n_shingles, digest, registers`` and ``profile``; the last three are null for an empty set."""
 
     def make() -> Measure:
         hashes = WordHashes()
@@ -147,16 +157,18 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         def measure(texts: Sequence[bytes]) -> list[pa.Array]:
             sets = shingle_sets(texts, hashes)
             full = [s for s in sets if len(s)]
-            rows = iter(registers(full)) if full else iter(())
+            sketched = registers(full) if full else np.empty((0, REGISTERS), np.uint16)
+            rows, profiles = iter(sketched), iter(profile(sketched))
             return [
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([next(profiles).tobytes() if len(s) else None for s in sets], pa.binary()),
             ]
 
         return measure
 
-    fields = [long_field("n_shingles"), T.StructField("digest", T.BinaryType()), T.StructField("registers", T.BinaryType())]
+    fields = [long_field("n_shingles"), T.StructField("digest", T.BinaryType()), T.StructField("registers", T.BinaryType()), T.StructField("profile", T.BinaryType())]
     return measure_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", make, fields)
 
 
@@ -181,11 +193,13 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """``key, digest, n`` for each band: band number, its registers, and the registers after it."""
-    width = 2 * (BAND + TAIL)
-    ring = F.concat("registers", "registers")
-    key = F.concat(F.unhex(F.lpad(F.hex(F.col("band")), 2, "0")), F.substring("ring", F.col("band") * 2 * BAND + 1, F.lit(width)))
-    bands = nodes.select("digest", F.col("n_shingles").alias("n"), ring.alias("ring"), F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1))).alias("band"))
+    """``key, digest, n`` for each band: its number, its registers, and the profile from that band on and round."""
+    bands = nodes.select(
+        "digest", F.col("n_shingles").alias("n"), "registers", F.concat("profile", "profile").alias("ring"),
+        F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"),
+    )
+    number = F.unhex(F.lpad(F.hex("band"), 2, "0"))
+    key = F.concat(number, F.substring("registers", F.col("band") * 2 * BAND + 1, F.lit(2 * BAND)), F.substring("ring", F.col("band") + 1, F.lit(BANDS)))
     return bands.select(key.alias("key"), "digest", "n")
 
 
@@ -193,35 +207,35 @@ class RunPairs:
     """Pairs of rows of equal bands in a sorted stream; holds a few rows of the last batch."""
 
     def __init__(self) -> None:
-        self.key = np.empty((0, 1 + 2 * (BAND + TAIL)), np.uint8)
+        self.key = np.empty((0, KEY), np.uint8)
         self.digest, self.n = np.empty(0, "S16"), np.empty(0, np.int64)
         self.pivots: np.ndarray = np.empty(0, np.int64)
 
     def add(self, key: np.ndarray, digest: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Digests of the pairs that the new rows take part in."""
+        """Digests of the pairs that the new rows take part in; rows held over are the last run's pivots, then its last neighbours."""
         old = len(self.n)
         key, digest, n = np.concatenate([self.key, key]), np.concatenate([self.digest, digest]), np.concatenate([self.n, n])
-        head = key[:, : 1 + 2 * BAND]
+        head = key[:, :HEAD]
         run = np.concatenate([[0], np.cumsum((head[1:] != head[:-1]).any(axis=1))])
         lefts, rights = [], []
-        # Rows held over are the last run's pivots, then its last neighbours.
+        starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        ends = np.append(starts[1:], len(n))
+        long = ends - starts > NEIGHBOURS + 1
+        reach = np.where(long, LONG_RUN_NEIGHBOURS, NEIGHBOURS)[run]
         for step in range(1, NEIGHBOURS + 1):
             i = np.arange(max(0, old - step), len(n) - step)
-            i = i[run[i] == run[i + step]]
+            i = i[(run[i] == run[i + step]) & (reach[i] >= step)]
             lefts.append(i)
             rights.append(i + step)
-        starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-        ends = np.append(starts[1:], len(n))
         last = np.empty(0, np.int64)
-        for start, end in zip(starts.tolist(), ends.tolist()):
-            central = np.empty(0, np.int64)
-            if end - start > NEIGHBOURS + 1:
-                central = start + self.central(key[start:end, 1 + 2 * BAND :])
-                fresh = np.arange(max(start, old), end)
-                for p in {*central.tolist(), *range(start, min(end, start + len(self.pivots) if start == 0 else start))}:
-                    lefts.append(np.full(len(fresh), p))
-                    rights.append(fresh)
-            last = central
+        for start, end in zip(starts[long].tolist(), ends[long].tolist()):
+            central = start + self.central(key[start:end, HEAD:])
+            fresh = np.arange(max(start, old), end)
+            for p in {*central.tolist(), *(range(len(self.pivots)) if start == 0 else ())}:
+                lefts.append(np.full(len(fresh), p))
+                rights.append(fresh)
+            if end == len(n):
+                last = central
         tail = np.arange(max(starts[-1], len(n) - NEIGHBOURS), len(n))
         keep = np.concatenate([last, tail[~np.isin(tail, last)]]).astype(np.int64)
         self.key, self.digest, self.n, self.pivots = key[keep], digest[keep], n[keep], last
@@ -232,13 +246,11 @@ class RunPairs:
         return np.where(a < b, a, b), np.where(a < b, b, a)
 
     @staticmethod
-    def central(tail: np.ndarray) -> np.ndarray:
-        """The rows that agree most with the registers most of the run has."""
-        values = np.ascontiguousarray(tail).view(np.uint16)
-        agree = np.zeros(len(values), np.int64)
-        for column in values.T:
-            _, of, counts = np.unique(column, return_inverse=True, return_counts=True)
-            agree += of == counts.argmax()
+    def central(profiles: np.ndarray) -> np.ndarray:
+        """The rows that agree most with the bytes most of the run has."""
+        agree = np.zeros(len(profiles), np.int64)
+        for column in profiles.T:
+            agree += column == np.bincount(column, minlength=256).argmax()
         return np.argsort(-agree, kind="stable")[:PIVOTS]
 
 
@@ -261,7 +273,7 @@ def candidate_pairs(nodes: DataFrame, partitions: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 digest = np.ascontiguousarray(fixed(batch.column(1), 16)).view("S16").ravel()
-                key = fixed(batch.column(0), 1 + 2 * (BAND + TAIL))
+                key = fixed(batch.column(0), KEY)
                 a, b = pairs.add(key, digest, batch.column(2).to_numpy())
                 for at in range(0, len(a), 50_000):
                     part = [digests(x[at : at + 50_000]) for x in (a, b)]
@@ -333,13 +345,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = cut(sketch(texts, "id", "text"))
-    grouped = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles"))
+    grouped = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("registers").alias("registers"), F.first("profile").alias("profile"), F.first("n_shingles").alias("n_shingles"))
     nodes = cut(grouped)
     labels = node_labels(texts, nodes, partitions)
     member = nodes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "id", "copies", F.coalesce("label", "digest").alias("label"))
     named = member.groupBy("label").agg(F.min("id").alias("component_id"))
     many = member.join(named, "label").where((F.col("copies") > 1) | ~F.col("component_id").eqNullSafe(F.col("id"))).select("digest", "component_id")
-    out = rows.drop("registers").join(many, "digest", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    out = rows.drop("registers", "profile").join(many, "digest", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
 
