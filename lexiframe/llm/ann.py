@@ -43,8 +43,10 @@ NEAR_LINKS, FAR_LINKS = 12, 4
 BLOCK_ROWS, CHUNK_QUERIES = 1024, 512
 ROUNDING = 1e-9
 FLOOR_SPARE = 3
-#: Centroids that a walk keeps in view at least.
-BEAM = 16
+#: Centroids that a walk keeps in view at least, and rows that advance together.
+BEAM, WALK_ROWS = 16, 512
+#: Vectors, and queries, of a batch that are put in lists at once.
+LIST_BATCH, QUERY_BATCH = 1000, 200
 TINY = 1e-300
 
 
@@ -114,6 +116,10 @@ class Index:
         A row stops when its nearest centroid that is not yet expanded is
         farther than its ``width``-th nearest and than ``ratio`` times the nearest.
         """
+        parts = [self.walk_part(x[at : at + WALK_ROWS], ratio, width) for at in range(0, len(x), WALK_ROWS)]
+        return np.concatenate([np.empty((0, len(self.centroids))), *parts])
+
+    def walk_part(self, x: np.ndarray, ratio: float, width: int) -> np.ndarray:
         lists = len(self.centroids)
         width = min(width, lists)
         known = np.full((len(x), lists), np.inf)
@@ -217,8 +223,9 @@ def in_lists(rows: DataFrame, index: Index, k: int, queries: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            size = QUERY_BATCH if queries else LIST_BATCH
+            for at in range(0, whole.num_rows, size):
+                batch = whole.slice(at, size)
                 x = matrix(batch.column(1), shared.value.dimension)
                 row, place = shared.value.lists_for(x) if queries else shared.value.lists_of(x)
                 floor = np.zeros(len(x))
