@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiframe.llm.common import Measure, measure_texts, training_row
+from lexiframe.llm.common import Measure, hash_sample, measure_texts, training_row
 
 #: Labelled rows learnt from, and the longest text among them.
 SAMPLE_ROWS, SAMPLE_CHARS = 10_000, 20_000
@@ -216,7 +216,7 @@ def train(raws: Sequence[bytes], toxic: Sequence[int]) -> Model:
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from at most ``sample_rows`` labelled rows, chosen by a hash of the id; so many ids are broadcast, no more."""
     known = labels.where(training_row(id_col) & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
+    chosen = hash_sample(known, "id", sample_rows, known.count())
     text = F.col(text_col).cast("string")
     texts = docs.where(F.length(text) <= SAMPLE_CHARS).select(F.col(id_col).alias("id"), text.alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").orderBy("id").limit(sample_rows).collect()
