@@ -12,11 +12,12 @@ links connect.
    leading one of the bucket's least hash value.
 3. Bands of four compressed registers become rows, sorted over the cluster by
    band and by the node's profile, one byte of each band's hash. Within a
-   band's run of equal registers, each row is paired with the next few, so
-   short runs give all their pairs. In a long run it is also paired with the
-   row whose profile agrees most with what the run mostly has: among copies of
-   one text, each edited elsewhere, that is the text. So a long run costs a few
-   pairs a row. Runs are never gathered; a sort can cut them anywhere.
+   short run of equal registers, each row is paired with all others. In a long
+   run it is paired with those of its batch whose profiles agree most with its
+   own, and with the row whose profile agrees most with what the run mostly
+   has: among copies of one text, each edited elsewhere, that is the text. So a
+   long run costs a few pairs a row. Runs are never gathered; batches and the
+   sort can cut them anywhere.
 4. A pair's Jaccard index is estimated from equal registers, less the equality
    expected by chance for sets of their sizes; unlikely pairs end here.
 5. Pairs are confirmed on the full sets: first the best partner of each node;
@@ -50,8 +51,8 @@ BANDS = REGISTERS // BAND
 #: Bytes of a row's key: band number, its registers, and the profile.
 HEAD = 1 + 2 * BAND
 KEY = HEAD + BANDS
-#: Rows after it that a row is paired with, in short runs and in long ones, and central rows of a long run.
-NEIGHBOURS, LONG_RUN_NEIGHBOURS, PIVOTS = 6, 2, 1
+#: Rows after it that a row of a short run is paired with; likeliest partners of a row of a long run, and its central rows.
+NEIGHBOURS, PARTNERS, PIVOTS = 6, 3, 1
 #: Pairs estimated this many standard deviations under the threshold are dropped.
 SLACK = 5.0
 #: Up to so many ids are broadcast to pick the texts whose sets are needed.
@@ -221,7 +222,7 @@ class RunPairs:
         starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         ends = np.append(starts[1:], len(n))
         long = ends - starts > NEIGHBOURS + 1
-        reach = np.where(long, LONG_RUN_NEIGHBOURS, NEIGHBOURS)[run]
+        reach = np.where(long, 0, NEIGHBOURS)[run]
         for step in range(1, NEIGHBOURS + 1):
             i = np.arange(max(0, old - step), len(n) - step)
             i = i[(run[i] == run[i + step]) & (reach[i] >= step)]
@@ -229,8 +230,11 @@ class RunPairs:
             rights.append(i + step)
         last = np.empty(0, np.int64)
         for start, end in zip(starts[long].tolist(), ends[long].tolist()):
-            central = start + self.central(key[start:end, HEAD:])
+            profiles = key[start:end, HEAD:]
+            central = start + self.central(profiles)
             fresh = np.arange(max(start, old), end)
+            lefts.append(np.repeat(fresh, PARTNERS))
+            rights.append(start + self.partners(profiles, fresh - start).ravel())
             for p in {*central.tolist(), *(range(len(self.pivots)) if start == 0 else ())}:
                 lefts.append(np.full(len(fresh), p))
                 rights.append(fresh)
@@ -245,6 +249,15 @@ class RunPairs:
         a, b = digest[left[fits]], digest[right[fits]]
         return np.where(a < b, a, b), np.where(a < b, b, a)
 
+    @staticmethod
+    def partners(profiles: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """For each row of ``of`` the other rows whose profiles agree most with its own."""
+        agree = np.zeros((len(of), len(profiles)), np.int8)
+        for column in profiles.T:
+            agree += column[of][:, None] == column
+        agree[np.arange(len(of)), of] = -1
+        return np.argpartition(-agree, PARTNERS, axis=1)[:, :PARTNERS]
+
     @staticmethod
     def central(profiles: np.ndarray) -> np.ndarray:
         """The rows that agree most with the bytes most of the run has."""
