@@ -244,6 +244,7 @@ class RunPairs:
         keep = np.concatenate([last, tail[~np.isin(tail, last)]]).astype(np.int64)
         self.key, self.digest, self.n, self.pivots = key[keep], digest[keep], n[keep], last
         left, right = np.concatenate(lefts), np.concatenate(rights)
+        left, right = np.divmod(np.unique(np.minimum(left, right) * len(n) + np.maximum(left, right)), len(n))
         small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
         fits = (100 * small >= PERCENT * large) & (digest[left] != digest[right])
         a, b = digest[left[fits]], digest[right[fits]]
