@@ -17,11 +17,17 @@ links connect.
    own, and with the row whose profile agrees most with what the run mostly
    has: among copies of one text, each edited elsewhere, that is the text. So a
    long run costs a few pairs a row. Runs are never gathered; batches and the
-   sort can cut them anywhere.
+   sort can cut them anywhere. These pairs are only a start, see 6.
 4. A pair's Jaccard index is estimated from equal registers, less the equality
    expected by chance for sets of their sizes; unlikely pairs end here.
 5. Pairs are confirmed on the full sets: first the best partner of each node;
    then, after joining up components, every pair that still spans two.
+6. The runs that still hold more than one component, long ones or cut ones too,
+   are gone over exactly: a run is dealt into blocks by hash, each block meets
+   each, and every pair between components is estimated there. What likely
+   pairs connect is a group; its full sets are dealt into blocks likewise, and
+   every pair between components is decided there. Only a spanning forest
+   leaves a block, so a large group costs time but few rows.
 
 A pair at the threshold shares no band with a chance of 5e-6.
 
@@ -53,6 +59,8 @@ HEAD = 1 + 2 * BAND
 KEY = HEAD + BANDS
 #: Rows after it that a row of a short run is paired with; likeliest partners of a row of a long run, and its central rows.
 NEIGHBOURS, PARTNERS, PIVOTS = 6, 3, 1
+#: Rows and shingles of a block, about, and pairs whose registers are compared at once.
+BLOCK_ROWS, BLOCK_SHINGLES, COMPARED = 1024, 1 << 20, 1 << 16
 #: Pairs estimated this many standard deviations under the threshold are dropped.
 SLACK = 5.0
 #: Up to so many ids are broadcast to pick the texts whose sets are needed.
@@ -299,7 +307,7 @@ def candidate_pairs(nodes: DataFrame, partitions: int) -> DataFrame:
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``a, b, jaccard`` of the pairs whose estimate is not far below the threshold."""
-    least = PERCENT / 100 - SLACK * float(np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS))
+    least = least_estimate()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,6 +320,193 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a binary, b binary, jaccard double")
 
 
+def least_estimate() -> float:
+    return PERCENT / 100 - SLACK * float(np.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS))
+
+
+def with_labels(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``nodes`` with the ``label`` of their component; a node without a link is one of its own."""
+    return nodes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` with their ``block`` of the ``blocks`` of their ``run``, copied for each pair ``i, j`` of blocks that theirs is in."""
+    block = F.pmod(F.xxhash64("digest", "run"), F.col("blocks")).cast("int")
+    copied = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return copied.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other")
+
+
+def open_members(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``digest, label, n, registers`` of the runs with more than one component, dealt into blocks."""
+    named = cut(with_labels(nodes, labels).select("digest", "label", F.col("n_shingles").alias("n"), "registers"))
+    of_band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("registers", k * 2 * BAND + 1, F.lit(2 * BAND)))))
+    heads = named.select(of_band.alias("run"), "digest", F.xxhash64("label").alias("part"))
+    runs = heads.groupBy("run").agg(F.count("*").alias("rows"), F.min("part").alias("least"), F.max("part").alias("most")).where("least != most")
+    runs = cut(runs.select("run", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks")))
+    wanted = F.broadcast(runs) if runs.count() <= BROADCAST_IDS else runs
+    held = cut(heads.select("run", "digest").join(wanted, "run"))
+    return dealt(held).join(named, "digest").select("run", "i", "j", "block", "digest", "label", "n", "registers")
+
+
+def forest(left: np.ndarray, right: np.ndarray, nodes: int) -> np.ndarray:
+    """Which of the edges make a spanning forest of a graph."""
+    part, edge, kept = np.arange(nodes), np.arange(len(left)), [np.empty(0, np.int64)]
+    while True:
+        a, b = part[left[edge]], part[right[edge]]
+        edge, a, b = edge[a != b], a[a != b], b[a != b]
+        if not len(edge):
+            return np.concatenate(kept)
+        first = np.full(nodes, len(left))
+        np.minimum.at(first, a, edge)
+        np.minimum.at(first, b, edge)
+        own = np.flatnonzero(first < len(left))
+        kept.append(np.unique(first[own]))
+        to = np.arange(nodes)
+        to[own] = part[left[first[own]]] + part[right[first[own]]] - own
+        own = own[(to[to[own]] == own) & (own < to[own])]
+        to[own] = own
+        while (to[to] != to).any():
+            to = to[to]
+        part = to[part]
+
+
+class Blocks:
+    """Rows of one Arrow table, sorted by group: two blocks of a run, or one with itself."""
+
+    def __init__(self, table: pa.Table) -> None:
+        run, self.i, self.j, self.block = (table[c].to_numpy() for c in ("run", "i", "j", "block"))
+        self.digest, label = (np.ascontiguousarray(fixed(table[c], 16)).view("S16").ravel() for c in ("digest", "label"))
+        self.labels, self.label = np.unique(label, return_inverse=True)
+        new = (run[1:] != run[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])
+        self.starts = np.flatnonzero(np.concatenate([[True], new]))
+        self.ends = np.append(self.starts[1:], len(run))
+
+    def sides(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.arange(start, end)
+        return rows[self.block[start:end] == self.i[start]], rows[self.block[start:end] == self.j[start]]
+
+
+class Likely(Blocks):
+    """Digests that likely pairs between components connect."""
+
+    def __init__(self, table: pa.Table) -> None:
+        super().__init__(table)
+        self.n, self.registers = table["n"].to_numpy(), fixed(table["registers"], 2 * REGISTERS).view(np.uint16)
+
+    def compare(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        small, large = np.minimum(self.n[left], self.n[right]), np.maximum(self.n[left], self.n[right])
+        fits = 100 * small >= PERCENT * large
+        left, right = left[fits], right[fits]
+        parts = [(left[at : at + COMPARED], right[at : at + COMPARED]) for at in range(0, len(left), COMPARED)]
+        likely = [estimate(self.registers[a], self.registers[b], self.n[a], self.n[b]) >= least_estimate() for a, b in parts]
+        taken = np.concatenate([np.empty(0, bool), *likely])
+        return left[taken], right[taken]
+
+    def short(self, few: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of each of many small groups."""
+        starts, ends = self.starts[few], self.ends[few]
+        for step in range(1, int((ends - starts).max(initial=0))):
+            at, size = starts[ends - starts > step], (ends - starts)[ends - starts > step] - step
+            left = np.repeat(at - np.cumsum(size) + size, size) + np.arange(size.sum())
+            left = left[self.label[left] != self.label[left + step]]
+            yield self.compare(left, left + step)
+
+    def long(self, start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of a group, a component of its first block at a time."""
+        ours, theirs = self.sides(start, end)
+        ours = ours[np.argsort(self.label[ours], kind="stable")]
+        one = self.i[start] == self.j[start]
+        for own in np.split(ours, np.flatnonzero(np.diff(self.label[ours])) + 1):
+            label = self.label[own[:1]]
+            others = theirs[self.label[theirs] > label if one else self.label[theirs] != label] if len(own) else own
+            some = max(1, 8 * COMPARED // max(1, len(others)))
+            for at in range(0, len(own) if len(others) else 0, some):
+                part = own[at : at + some]
+                yield self.compare(np.repeat(part, len(others)), np.tile(others, len(part)))
+
+    def links(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        few = (self.ends - self.starts <= NEIGHBOURS + 1) & (self.i[self.starts] == self.j[self.starts])
+        found = [self.short(few), *(self.long(a, b) for a, b in zip(self.starts[~few].tolist(), self.ends[~few].tolist()))]
+        for pairs in found:
+            both = [*pairs]
+            if both:
+                left, right = (np.concatenate(x) for x in zip(*both))
+                kept = forest(left, right, len(self.digest))
+                yield self.digest[left[kept]], self.digest[right[kept]]
+
+
+class Alike(Blocks):
+    """Labels of components that have rows whose full sets are alike enough."""
+
+    def __init__(self, table: pa.Table) -> None:
+        super().__init__(table)
+        sets = table["shingles"].combine_chunks()
+        self.n = np.diff(sets.offsets.to_numpy())
+        values, self.flat = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        self.first = np.append(0, np.cumsum(self.n))
+        self.mark = np.zeros(len(values), bool)
+
+    def links(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for start, end in zip(self.starts.tolist(), self.ends.tolist()):
+            ours, theirs = self.sides(start, end)
+            if not len(ours) or not len(theirs):
+                continue
+            flat = np.concatenate([self.flat[self.first[r] : self.first[r + 1]] for r in theirs])
+            at, lefts, rights = np.append(0, np.cumsum(self.n[theirs])[:-1]), [], []
+            for r in ours:
+                apart = self.label[theirs] != self.label[r]
+                if apart.any():
+                    own = self.flat[self.first[r] : self.first[r + 1]]
+                    self.mark[own] = True
+                    common = np.add.reduceat(self.mark[flat], at, dtype=np.int64)
+                    self.mark[own] = False
+                    near = self.label[theirs[apart & (100 * common >= PERCENT * (self.n[theirs] + self.n[r] - common))]]
+                    rights.append(np.unique(near))
+                    lefts.append(np.full(len(rights[-1]), self.label[r]))
+            if lefts:
+                left, right = np.concatenate(lefts), np.concatenate(rights)
+                kept = forest(left, right, len(self.labels))
+                yield self.labels[left[kept]], self.labels[right[kept]]
+
+
+def in_blocks(rows: DataFrame, partitions: int, kind: type[Likely] | type[Alike]) -> DataFrame:
+    """``a, b``, each once: the links that ``kind`` finds in each group of ``rows``. A group is held at once, two blocks at most."""
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """The rows again, cut only between groups."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                key = [batch.column(c).to_numpy() for c in range(3)]
+                change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+                if held and any(held[-1].column(c)[-1].as_py() != key[c][0] for c in range(3)):
+                    yield pa.Table.from_batches(held)
+                    held = []
+                if len(change):
+                    yield pa.Table.from_batches([*held, batch.slice(0, change[-1])])
+                    held, batch = [], batch.slice(change[-1])
+                held.append(batch)
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches):
+            for one, two in kind(table).links():
+                a, b = np.where(one < two, one, two), np.where(one < two, two, one)
+                yield pa.RecordBatch.from_arrays([digests(a), digests(b)], names=["a", "b"])
+
+    ordered = rows.repartition(partitions, "run", "i", "j").sortWithinPartitions("run", "i", "j")
+    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def alike_members(groups: DataFrame, sets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``digest, label, shingles`` of the nodes of each group, dealt into blocks."""
+    members = with_labels(groups.select(F.col("node").alias("digest"), F.xxhash64("label").alias("run")), labels)
+    sizes = members.join(nodes.select("digest", "n_shingles"), "digest").groupBy("run").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("shingles"))
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    return dealt(members.join(sizes.select("run", blocks), "run")).join(sets, "digest").select("run", "i", "j", "block", "digest", "label", "shingles")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are alike enough."""
     side = lambda s: sets.select(F.col("digest").alias(s), F.col("shingles").alias(f"s_{s}"))
@@ -336,24 +531,38 @@ def spanning(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return named.where("c_a != c_b")
 
 
-def node_labels(docs: DataFrame, nodes: DataFrame, partitions: int) -> DataFrame:
-    """``node, label`` for every node with a confirmed link."""
-    pairs = cut(likely(candidate_pairs(nodes, partitions), nodes))
+def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The full sets of all ends of the pairs."""
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
     ids = cut(nodes.join(ends, "digest", "left_semi").select("id"))
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = cut(full_sets(docs.join(wanted, "id", "left_semi")))
-    first = cut(confirmed(best_partners(pairs), sets))
-    labels = contract(first)
-    open_pairs = cut(spanning(pairs, labels))
-    second = confirmed(open_pairs.select("a", "b"), sets)
-    bridges = contract(open_pairs.join(second, ["a", "b"], "left_semi"), "c_a", "c_b")
+    return cut(full_sets(docs.join(wanted, "id", "left_semi")))
+
+
+def relabelled(labels: DataFrame, links: DataFrame, left: str, right: str) -> DataFrame:
+    """``labels`` after joining the components that are linked."""
+    bridges = contract(links, left, right)
     moved = bridges.select(F.col("node").alias("label"), F.col("label").alias("root"))
     joined = labels.join(moved, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
     alone = bridges.join(labels.select("node"), "node", "left_anti").select("node", "label")
     return cut(joined.unionByName(alone))
 
 
+def node_labels(docs: DataFrame, nodes: DataFrame, partitions: int) -> DataFrame:
+    """``node, label`` for every node with a confirmed link."""
+    pairs = cut(likely(candidate_pairs(nodes, partitions), nodes))
+    sets = sets_of(docs, nodes, pairs)
+    labels = contract(cut(confirmed(best_partners(pairs), sets)))
+    open_pairs = cut(spanning(pairs, labels))
+    second = confirmed(open_pairs.select("a", "b"), sets)
+    labels = relabelled(labels, open_pairs.join(second, ["a", "b"], "left_semi"), "c_a", "c_b")
+    unmet = cut(in_blocks(open_members(nodes, labels), partitions, Likely))
+    if unmet.isEmpty():
+        return labels
+    members = alike_members(contract(unmet), sets_of(docs, nodes, unmet), nodes, labels)
+    return relabelled(labels, in_blocks(members, partitions, Alike), "a", "b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: the id, ``n_shingles``, ``component_id`` (least id of the class) and ``kept``."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -88,6 +88,36 @@ def test_large_group_around_one_text(spark):
     assert np.mean([wanted[d] == c for d, _, c, _ in found]) == 1
 
 
+def test_large_group_without_the_text_it_was_made_from(spark):
+    draw = random.Random(8)
+    words = [f"w{n}" for n in range(150)]
+    rows = [(n, edited(draw, words, 3)) for n in range(400)]
+    assert by_text(r[:3] for r in run(spark, rows)) == by_text(brute(rows))
+
+
+def test_every_pair_is_met_when_runs_span_blocks(spark, monkeypatch):
+    draw = random.Random(9)
+    words = [f"w{n}" for n in range(200)]
+    rows = [(n, edited(draw, words, 4)) for n in range(200)]
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 16)
+    assert by_text(r[:3] for r in run(spark, rows)) == by_text(brute(rows))
+
+
+def test_forest_connects_what_the_edges_connect():
+    draw = np.random.default_rng(3)
+    for edges in (0, 30, 300):
+        left, right = draw.integers(0, 100, (2, edges))
+        kept = minhash.forest(left, right, 100)
+
+        def parts(pairs):
+            root = list(range(100))
+            for a, b in pairs:
+                root = [root[b] if r == root[a] else r for r in root]
+            return len(set(root))
+
+        assert parts(zip(left[kept], right[kept])) == parts(zip(left, right)) == 100 - len(kept)
+
+
 def test_odd_ids_and_empty_table(spark):
     same = "a b c d e f g"
     rows = [(None, same), (7, same), (7, same), (7, "q r s t u v"), (None, None)]
