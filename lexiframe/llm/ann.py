@@ -22,7 +22,7 @@ an empty result. Only the id and the vector are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -106,6 +106,8 @@ class Index:
     sample: np.ndarray
     holds: np.ndarray
     ratio: float
+    #: Rows of the sample by id: a query's own are no answers.
+    own: dict[object, list[int]] = field(default_factory=dict)
 
     def lengthened(self, x: np.ndarray) -> np.ndarray:
         return np.hstack([x, np.sqrt(np.maximum(self.longest**2 - (x**2).sum(1), 0))[:, None]])
@@ -158,22 +160,27 @@ class Index:
         """Queries, all made as long as the longest vector, which doesn't change the order of their answers."""
         return np.hstack([q * (self.longest / np.sqrt((q**2).sum(1)))[:, None], np.zeros((len(q), 1))])
 
-    def floor(self, q: np.ndarray, asked: np.ndarray, k: int) -> np.ndarray:
+    def floor(self, q: np.ndarray, ids: list, asked: np.ndarray, k: int) -> np.ndarray:
         """A score that the k-th best answer from the ``asked`` lists reaches.
 
-        It is taken from the sample's vectors in those lists, a few places
-        further down, as the query may be among them itself.
+        It is taken from the sample's vectors of other ids in those lists, a
+        few places further down.
         """
         score = np.where(asked.astype(np.float32) @ self.holds.T.astype(np.float32) > 0, q @ self.sample.T, -np.inf)
+        for row, name in enumerate(ids):
+            score[row, self.own.get(name, [])] = -np.inf
         place = len(self.sample) - k - FLOOR_SPARE
         return np.partition(score, place, axis=1)[:, place] if place >= 0 else np.full(len(q), -np.inf)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id, v`` of the vectors that can take part, before their lengths are compared."""
+    """``id, v`` of the vectors that can take part, each once, before their lengths are compared.
+
+    Cuts by rank count rows, so a repeated row would push out another answer.
+    """
     v = F.col(vector_col).cast("array<double>")
     sound = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(v, lambda c: c != 0)
-    return vectors.select(F.col(id_col).alias("id"), v.alias("v")).where(F.col("v").isNotNull()).where(sound)
+    return vectors.select(F.col(id_col).alias("id"), v.alias("v")).where(F.col("v").isNotNull()).where(sound).distinct()
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:
@@ -195,11 +202,15 @@ def fit(vectors: DataFrame, k: int, sample_rows: int = SAMPLE_ROWS) -> Index | N
         return None
     d, n, longest = most[0].d, most[0].n, float(np.sqrt(most[0].longest)) * (1 + ROUNDING)
     chosen = hash_sample(vectors.where(F.size("v") == d), "id", sample_rows, n)
-    sample = np.array([row.v for row in chosen.collect()], float)
+    taken = chosen.collect()
+    sample = np.array([row.v for row in taken], float)
+    own: dict[object, list[int]] = {}
+    for at, row in enumerate(taken):
+        own.setdefault(row.id, []).append(at)
     lists = int(min(MAX_LISTS, max(1, n // LIST_ROWS), max(1, len(sample) // 8)))
     lengthened = np.hstack([sample, np.sqrt(np.maximum(longest**2 - (sample**2).sum(1), 0))[:, None]])
     centroids = balanced_centroids(lengthened, lists)
-    index = Index(d, longest, centroids, link(centroids), sample, np.zeros((len(sample), len(centroids)), bool), np.inf)
+    index = Index(d, longest, centroids, link(centroids), sample, np.zeros((len(sample), len(centroids)), bool), np.inf, own)
     index.holds[index.lists_of(sample)] = True
     return replace(index, ratio=fitted_ratio(index, k))
 
@@ -232,7 +243,7 @@ def in_lists(rows: DataFrame, index: Index, k: int, queries: bool) -> DataFrame:
                 if queries:
                     asked = np.zeros((len(x), len(shared.value.centroids)), bool)
                     asked[row, place] = True
-                    floor = shared.value.floor(x, asked, k)
+                    floor = shared.value.floor(x, batch.column(0).to_pylist(), asked, k)
                 taken = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), *taken.columns, pa.array(floor[row])], names=["list", "id", "v", "floor"])
 
@@ -268,18 +279,20 @@ def nearest(vectors: DataFrame, queries: F.Column, k: int, id_col: str = "vec_id
         if not ours.num_rows or not theirs.num_rows:
             return pa.table({"query_id": theirs["id"][:0], "id": ours["id"][:0], "score": pa.array([], pa.float64())})
         x, q = matrix(ours["v"], dimension), matrix(theirs["v"], dimension)
-        rough = q @ x.T
+        names = pa.concat_arrays([t["id"].combine_chunks() for t in (theirs, ours)]).dictionary_encode("encode").indices.to_numpy()
+        own = names[: len(q), None] == names[None, len(q) :]
+        rough = np.where(own, -np.inf, q @ x.T)
         least = theirs["floor"].to_numpy()
-        if len(x) > k + 1:
-            least = np.maximum(least, np.partition(rough, len(x) - k - 1, axis=1)[:, len(x) - k - 1])
+        if len(x) > k:
+            least = np.maximum(least, np.partition(rough, len(x) - k, axis=1)[:, len(x) - k])
         slack = ROUNDING * longest * np.sqrt((q**2).sum(1))
-        row, at = np.nonzero(rough >= (least - slack)[:, None])
+        row, at = np.nonzero(~own & (rough >= (least - slack)[:, None]))
         score = (q[row] * x[at]).sum(axis=1)
         asked_ids, ids = theirs["id"].take(pa.array(row)), ours["id"].take(pa.array(at))
         return pa.table({"query_id": asked_ids, "id": ids, "score": pa.array(score)})
 
     found = left.cogroup(right).applyInArrow(compare, f"query_id {kind}, id {kind}, score double")
-    other = found.where(~F.col("query_id").eqNullSafe(F.col("id"))).distinct()
+    other = found.distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = other.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -63,6 +63,23 @@ def test_repeated_rows_count_once(spark):
     assert ann.nearest(docs, F.col("vec_id") == 0, 3).count() == 1
 
 
+@pytest.mark.parametrize("copies", [2, 30])
+def test_repeated_rows_push_out_no_neighbour(spark, copies):
+    x = np.random.default_rng(6).normal(size=(60, 8))
+    docs = frame(spark, x)
+    repeated = docs.crossJoin(spark.range(copies).select(F.lit(1))).select(docs.columns)
+    found = ann.nearest(repeated, F.col("vec_id") % 20 == 0, 10).collect()
+    assert recall(found, x, range(0, 60, 20), 10) == 1
+
+
+def test_other_vectors_of_the_query_push_out_no_neighbour(spark):
+    draw = np.random.default_rng(7)
+    x = draw.normal(size=(60, 8))
+    extra = [(0, [float(c) for c in 3 * x[0] + 1e-3 * draw.normal(size=8)], 1) for _ in range(30)]
+    found = ann.nearest(frame(spark, x, extra), F.col("vec_id") == 0, 10).collect()
+    assert len(found) == 10 and all(r.vec_id != 0 for r in found)
+
+
 def test_lists_are_balanced_and_graph_finds_the_nearest():
     draw = np.random.default_rng(5)
     x = draw.normal(size=(2000, 8))
