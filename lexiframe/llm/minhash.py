@@ -157,8 +157,13 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (equal - chance) / (1 - chance)
 
 
+def text_mark(text: str) -> F.Column:
+    """A hash of a text, as ``sketch`` has it; a null text is empty."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, n_shingles, digest, registers`` and ``profile``; the last three are null for an empty set."""
+    """``id, n_shingles, digest, registers, profile`` and ``mark``, which is ``text_mark``; the others after the count are null for an empty set."""
 
     def make() -> Measure:
         hashes = WordHashes()
@@ -173,11 +178,12 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
                 pa.array([next(profiles).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array(np.array([xxhash.xxh64_intdigest(t, seed=42) for t in texts], np.uint64).view(np.int64)),
             ]
 
         return measure
 
-    fields = [long_field("n_shingles"), T.StructField("digest", T.BinaryType()), T.StructField("registers", T.BinaryType()), T.StructField("profile", T.BinaryType())]
+    fields = [long_field("n_shingles"), T.StructField("digest", T.BinaryType()), T.StructField("registers", T.BinaryType()), T.StructField("profile", T.BinaryType()), long_field("mark")]
     return measure_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", make, fields)
 
 
@@ -534,9 +540,9 @@ def spanning(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The full sets of all ends of the pairs."""
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    ids = cut(nodes.join(ends, "digest", "left_semi").select("id"))
+    ids = cut(nodes.join(ends, "digest", "left_semi").select(F.col("id").alias("wanted")))
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return cut(full_sets(docs.join(wanted, "id", "left_semi")))
+    return cut(full_sets(docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")))
 
 
 def relabelled(labels: DataFrame, links: DataFrame, left: str, right: str) -> DataFrame:
@@ -563,8 +569,8 @@ def node_labels(docs: DataFrame, nodes: DataFrame, partitions: int) -> DataFrame
     return relabelled(labels, in_blocks(members, partitions, Alike), "a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: the id, ``n_shingles``, ``component_id`` (least id of the class) and ``kept``."""
+def judged_rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``id, n_shingles, digest, mark, component_id, kept`` of each row, and the labels of the digests that have links."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = cut(sketch(texts, "id", "text"))
@@ -575,18 +581,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = member.groupBy("label").agg(F.min("id").alias("component_id"))
     many = member.join(named, "label").where((F.col("copies") > 1) | ~F.col("component_id").eqNullSafe(F.col("id"))).select("digest", "component_id")
     out = rows.drop("registers", "profile").join(many, "digest", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
+    return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))), labels
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: the id, ``n_shingles``, ``component_id`` (least id of the class) and ``kept``."""
+    judged, _ = judged_rows(docs, id_col, text_col)
+    return judged.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class, that of the smallest id; rows without an id all stay.
 
-    Rows that repeat an id and its text are looked for first, as only then
-    does one of them have to be chosen.
+    Rows are told apart by id and text. Where the smallest id has several rows
+    of the class, one text of them is chosen, by hash, and one of its rows.
     """
-    judged = cut(near_duplicates(docs, id_col, text_col))
-    dropped = judged.where(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col)
-    out = docs.join(dropped.distinct(), id_col, "left_anti").select(docs.columns)
-    repeated = judged.where(F.col("kept")).groupBy(id_col).count().where("count > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates([id_col, text_col])
+    judged, labels = judged_rows(docs, id_col, text_col)
+    judged = cut(with_labels(judged.where("id IS NOT NULL AND digest IS NOT NULL").select("id", "mark", "digest", "kept"), labels))
+    chosen = cut(judged.where("kept").groupBy("label", "id").agg(F.min("mark").alias("mark"), F.count("*").alias("rows")).where("rows > 1").drop("rows"))
+    others = judged.where("kept").join(chosen.withColumnRenamed("mark", "first"), ["label", "id"]).where("mark != first")
+    key = lambda rows: rows.select(F.col("id").alias("key_id"), F.col("mark").alias("key_mark")).distinct()
+    same = (F.col(id_col) == F.col("key_id")) & (text_mark(text_col) == F.col("key_mark"))
+    out = docs.join(key(judged.where("NOT kept").select("id", "mark").union(others.select("id", "mark"))), same, "left_anti")
+    if chosen.isEmpty():
+        return out
+    once = out.join(key(chosen), same, "left_semi").dropDuplicates([id_col, text_col])
+    return out.join(key(chosen), same, "left_anti").unionByName(once)

@@ -130,6 +130,25 @@ def test_odd_ids_and_empty_table(spark):
     assert minhash.keep_one_of_each(docs.limit(0)).count() == 0
 
 
+def test_repeated_and_null_ids_lose_no_row_or_link(spark):
+    same, other = "a b c d e f g", "q r s t u v"
+    long = [f"w{n}" for n in range(100)]
+    one, two = " ".join(long), " ".join(long[:99])
+
+    def kept(rows):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        return sorted(((r.doc_id, r.text) for r in minhash.keep_one_of_each(docs).collect()), key=str)
+
+    assert kept([(3, same), (7, same), (7, other)]) == [(3, same), (7, other)]
+    nulls = [(None, same), (None, same)]
+    assert kept([*nulls, (7, other), (7, other)]) == sorted([*nulls, (7, other)], key=str)
+    assert len(kept([(7, one), (7, two), (7, two)])) == 1
+    rows = [(None, one), (4, two), (5, " ".join(long[:98]))]
+    assert by_text(r[:3] for r in run(spark, rows)) == by_text(brute(rows))
+    bridge = [(1, " ".join(long[:80])), (None, " ".join(long)), (2, " ".join(long[20:]))]
+    assert by_text(r[:3] for r in run(spark, bridge)) == by_text(brute(bridge))
+
+
 def test_very_long_text(spark):
     long = " ".join(f"w{n}" for n in range(60_000))
     assert sorted(run(spark, [(1, long), (2, long + " end")])) == [(1, 59_996, 1, True), (2, 59_997, 1, False)]
