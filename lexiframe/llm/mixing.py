@@ -1,9 +1,9 @@
 """Mixing sources to target weights by Pareto order sampling, in DataFrame functions only.
 
 Every source gets a target in words. A document is due ``target / source
-size`` copies, scaled by its importance if one is given. The whole part of
-that is certain. The fraction p is drawn: with u uniform from a hash of the
-id, documents are ranked by u / (1 - u) divided by p / (1 - p), and the sample
+size`` copies. Documents have no weights of their own: within a source all
+have equal inclusion odds. The whole part of the copies is certain. The
+fraction p is drawn: with u uniform from a hash of the id, documents are ranked by u / (1 - u) divided by p / (1 - p), and the sample
 is the head of that order whose words fill what the whole copies leave of the
 target. As documents differ in length, the head stops short by part of a
 document; a second head, of the documents that still fit, and one closing
