@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,16 +86,43 @@ def long_field(name: str) -> T.StructField:
     return T.StructField(name, T.LongType())
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the cluster's shared checkpoint folder and read from there.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where none is
-    set, as in tests, a temporary one is made.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where none is set, as in tests, a temporary folder is made."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+#: The folder, if any, that ``cut`` writes to until ``scratch`` removes it.
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+def cut(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` written as a table to the cluster's shared checkpoint folder and read from there.
+
+    A table tells its size, so joins are planned by what is there; a checkpoint
+    would carry the estimates of the plan that made it, which multiply with
+    every join until a loop's estimates alone take minutes to compute.
+    """
+    spark = df.sparkSession
+    path = f"{folder or _scratch.get() or shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Inside, cuts go to a folder of their own, which is removed at the end; given is the folder of cuts that last longer."""
+    outer = _scratch.get() or shared_folder(spark)
+    path = f"{outer}/scratch-{uuid.uuid4().hex}"
+    token = _scratch.set(path)
+    try:
+        yield outer
+    finally:
+        _scratch.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)  # PySpark itself can't remove files of a shared store
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def hash_share(id_col: str) -> F.Column:

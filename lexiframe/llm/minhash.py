@@ -17,23 +17,27 @@ links connect.
    own, and with the row whose profile agrees most with what the run mostly
    has: among copies of one text, each edited elsewhere, that is the text. So a
    long run costs a few pairs a row. Runs are never gathered; batches and the
-   sort can cut them anywhere. These pairs are only a start, see 6.
+   sort can cut them anywhere. These pairs are only a start, so runs that were
+   long, or at the edge of a task, are named for step 6.
 4. A pair's Jaccard index is estimated from equal registers, less the equality
    expected by chance for sets of their sizes; unlikely pairs end here.
 5. Pairs are confirmed on the full sets: first the best partner of each node;
    then, after joining up components, every pair that still spans two.
-6. The runs that still hold more than one component, long ones or cut ones too,
-   are gone over exactly: a run is dealt into blocks by hash, each block meets
-   each, and every pair between components is estimated there. What likely
-   pairs connect is a group; its full sets are dealt into blocks likewise, and
-   every pair between components is decided there. Only a spanning forest
-   leaves a block, so a large group costs time but few rows.
+6. Of the runs named in step 3, those that still hold more than one component
+   are gone over exactly. The rows outside a run's largest component, in
+   blocks, meet all rows of the run, in blocks; every pair between components
+   is estimated in the first of its bands. What likely pairs connect is a
+   group, and the full sets of a group are compared in the same way. Only
+   spanning forests leave a block, so a large group costs time but few rows,
+   and rows that joined up in step 5 are not compared again with each other.
 
 A pair at the threshold shares no band with a chance of 5e-6.
 
 A null or empty text has no shingles and is a class of its own. A null id
-never names a class. Repeated rows are copies. An empty table gives an empty
-result. Only the id and the text are read.
+never names a class. Repeated rows are copies. A very long text is one set like
+any other, built in one task; batches are cut by bytes. Ties between partners
+go to the larger digest and change no class. An empty table gives an empty
+result. Only the id and the text are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -44,11 +48,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiframe.llm.common import LOWER, Measure, cut, long_field, measure_texts
+from lexiframe.llm.common import LOWER, Measure, cut, long_field, measure_texts, scratch
 from lexiframe.llm.components import contract
 
 SHINGLE, PERCENT = 5, 75
@@ -59,8 +63,8 @@ HEAD = 1 + 2 * BAND
 KEY = HEAD + BANDS
 #: Rows after it that a row of a short run is paired with; likeliest partners of a row of a long run, and its central rows.
 NEIGHBOURS, PARTNERS, PIVOTS = 6, 3, 1
-#: Rows and shingles of a block, about, and pairs whose registers are compared at once.
-BLOCK_ROWS, BLOCK_SHINGLES, COMPARED = 1024, 1 << 20, 1 << 16
+#: Rows and shingles of a block, about, and pairs of small groups whose registers are compared at once.
+BLOCK_ROWS, BLOCK_SHINGLES, COMPARED = 1024, 1 << 20, 1 << 14
 #: Pairs estimated this many standard deviations under the threshold are dropped.
 SLACK = 5.0
 #: Up to so many ids are broadcast to pick the texts whose sets are needed.
@@ -151,12 +155,21 @@ def chance_table(powers: int = 24) -> np.ndarray:
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Jaccard index of sketched sets, corrected for registers that are equal by chance."""
-    table = chance_table()
-    size = lambda n: np.log2(np.maximum(n, 1)).round().astype(int).clip(0, len(table) - 1)
-    equal, chance = (a == b).mean(axis=1), table[size(n_a), size(n_b)]
+    equal, chance = (a == b).mean(axis=1), chance_table()[size_class(n_a), size_class(n_b)]
     return (equal - chance) / (1 - chance)
 
 
+def size_class(n: np.ndarray) -> np.ndarray:
+    """Row and column of ``chance_table`` for sets of ``n`` shingles."""
+    return np.log2(np.maximum(n, 1)).round().astype(int).clip(0, len(chance_table()) - 1)
+
+
+def needed_registers() -> np.ndarray:
+    """Equal registers at which a pair is likely, by the size classes of its sets."""
+    chance = chance_table()
+    return np.ceil(REGISTERS * (least_estimate() * (1 - chance) + chance) - 1e-9).astype(np.uint8)
+
+
 def text_mark(text: str) -> F.Column:
     """A hash of a text, as ``sketch`` has it; a null text is empty."""
     return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
@@ -225,17 +238,27 @@ class RunPairs:
         self.key = np.empty((0, KEY), np.uint8)
         self.digest, self.n = np.empty(0, "S16"), np.empty(0, np.int64)
         self.pivots: np.ndarray = np.empty(0, np.int64)
+        #: Rows of the last run so far.
+        self.seen = 0
+
+    def add(self, key: np.ndarray, digest: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Digests of the pairs that the new rows take part in, and the heads of runs of which not every pair is among them.
 
-    def add(self, key: np.ndarray, digest: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Digests of the pairs that the new rows take part in; rows held over are the last run's pivots, then its last neighbours."""
-        old = len(self.n)
+        Rows held over are the last run's pivots, then its last neighbours. The
+        first and the last run of a stream may go on elsewhere, so a stream's
+        first head is named here and its last by ``last_head``.
+        """
+        old, first = len(self.n), not len(self.n)
         key, digest, n = np.concatenate([self.key, key]), np.concatenate([self.digest, digest]), np.concatenate([self.n, n])
         head = key[:, :HEAD]
         run = np.concatenate([[0], np.cumsum((head[1:] != head[:-1]).any(axis=1))])
         lefts, rights = [], []
         starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         ends = np.append(starts[1:], len(n))
-        long = ends - starts > NEIGHBOURS + 1
+        rows = ends - starts
+        rows[0] += self.seen - old if ends[0] > old else 0
+        long = rows > NEIGHBOURS + 1
+        named = [head[at].tobytes() for at in starts[long | (first & (starts == 0))].tolist()]
         reach = np.where(long, 0, NEIGHBOURS)[run]
         for step in range(1, NEIGHBOURS + 1):
             i = np.arange(max(0, old - step), len(n) - step)
@@ -247,7 +270,7 @@ class RunPairs:
             profiles = key[start:end, HEAD:]
             central = start + self.central(profiles)
             fresh = np.arange(max(start, old), end)
-            lefts.append(np.repeat(fresh, PARTNERS))
+            lefts.append(np.repeat(fresh, min(PARTNERS, end - start)))
             rights.append(start + self.partners(profiles, fresh - start).ravel())
             for p in {*central.tolist(), *(range(len(self.pivots)) if start == 0 else ())}:
                 lefts.append(np.full(len(fresh), p))
@@ -256,13 +279,16 @@ class RunPairs:
                 last = central
         tail = np.arange(max(starts[-1], len(n) - NEIGHBOURS), len(n))
         keep = np.concatenate([last, tail[~np.isin(tail, last)]]).astype(np.int64)
-        self.key, self.digest, self.n, self.pivots = key[keep], digest[keep], n[keep], last
+        self.key, self.digest, self.n, self.pivots, self.seen = key[keep], digest[keep], n[keep], last, int(rows[-1])
         left, right = np.concatenate(lefts), np.concatenate(rights)
         left, right = np.divmod(np.unique(np.minimum(left, right) * len(n) + np.maximum(left, right)), len(n))
         small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
         fits = (100 * small >= PERCENT * large) & (digest[left] != digest[right])
         a, b = digest[left[fits]], digest[right[fits]]
-        return np.where(a < b, a, b), np.where(a < b, b, a)
+        return np.where(a < b, a, b), np.where(a < b, b, a), named
+
+    def last_head(self) -> list[bytes]:
+        return [self.key[-1, :HEAD].tobytes()] if len(self.n) else []
 
     @staticmethod
     def partners(profiles: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -271,7 +297,8 @@ class RunPairs:
         for column in profiles.T:
             agree += column[of][:, None] == column
         agree[np.arange(len(of)), of] = -1
-        return np.argpartition(-agree, PARTNERS, axis=1)[:, :PARTNERS]
+        few = min(PARTNERS, len(profiles))
+        return np.argpartition(-agree, few - 1, axis=1)[:, :few]
 
     @staticmethod
     def central(profiles: np.ndarray) -> np.ndarray:
@@ -293,8 +320,8 @@ def digests(values: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(values), [None, pa.py_buffer(values.tobytes())]).cast(pa.binary())
 
 
-def candidate_pairs(nodes: DataFrame, partitions: int) -> DataFrame:
-    """``a, b``: digests of nodes that meet in a band, a before b, each pair once."""
+def met_in_bands(nodes: DataFrame, partitions: int) -> DataFrame:
+    """``a, b``: digests of nodes that meet in a band, a before b, each pair once; and, with null for b, heads of runs that hold more pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = RunPairs()
@@ -302,10 +329,15 @@ def candidate_pairs(nodes: DataFrame, partitions: int) -> DataFrame:
             if batch.num_rows:
                 digest = np.ascontiguousarray(fixed(batch.column(1), 16)).view("S16").ravel()
                 key = fixed(batch.column(0), KEY)
-                a, b = pairs.add(key, digest, batch.column(2).to_numpy())
+                a, b, named = pairs.add(key, digest, batch.column(2).to_numpy())
                 for at in range(0, len(a), 50_000):
                     part = [digests(x[at : at + 50_000]) for x in (a, b)]
                     yield pa.RecordBatch.from_arrays(part, names=["a", "b"])
+                yield heads(named)
+        yield heads(pairs.last_head())
+
+    def heads(named: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(named, pa.binary()), pa.nulls(len(named), pa.binary())], names=["a", "b"])
 
     ordered = band_rows(nodes).repartitionByRange(partitions, "key").sortWithinPartitions("key", "digest")
     return ordered.mapInArrow(run, "a binary, b binary").distinct()
@@ -335,23 +367,35 @@ def with_labels(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     return nodes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
 
 
-def dealt(rows: DataFrame) -> DataFrame:
-    """``rows`` with their ``block`` of the ``blocks`` of their ``run``, copied for each pair ``i, j`` of blocks that theirs is in."""
-    block = F.pmod(F.xxhash64("digest", "run"), F.col("blocks")).cast("int")
-    copied = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return copied.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other")
-
+def dealt(rows: DataFrame, size: Column) -> DataFrame:
+    """``rows`` (run, digest, label) of the runs with more than one label, dealt into blocks ``i, j``.
 
-def open_members(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """``digest, label, n, registers`` of the runs with more than one component, dealt into blocks."""
-    named = cut(with_labels(nodes, labels).select("digest", "label", F.col("n_shingles").alias("n"), "registers"))
-    of_band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("registers", k * 2 * BAND + 1, F.lit(2 * BAND)))))
-    heads = named.select(of_band.alias("run"), "digest", F.xxhash64("label").alias("part"))
-    runs = heads.groupBy("run").agg(F.count("*").alias("rows"), F.min("part").alias("least"), F.max("part").alias("most")).where("least != most")
-    runs = cut(runs.select("run", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks")))
-    wanted = F.broadcast(runs) if runs.count() <= BROADCAST_IDS else runs
-    held = cut(heads.select("run", "digest").join(wanted, "run"))
-    return dealt(held).join(named, "digest").select("run", "i", "j", "block", "digest", "label", "n", "registers")
+    As ``side`` 0, rows without the label that most of their run have, copied
+    for each block of side 1; as side 1 all rows, copied for each block of side
+    0. ``size`` is the part of a block that a row takes up.
+    """
+    labels = rows.groupBy("run", F.xxhash64("label").alias("part")).agg(F.sum(size).alias("size"), F.count("*").alias("n"))
+    runs = labels.groupBy("run").agg(F.max(F.struct("n", "part", "size")).alias("most"), F.sum("size").alias("size"), F.count("*").alias("parts"))
+    blocks = lambda part: F.greatest(F.ceil(part), F.lit(1)).cast("int")
+    runs = cut(runs.where("parts > 1").select("run", "most.part", blocks(F.col("size") - F.col("most.size")).alias("minor"), blocks(F.col("size")).alias("all")))
+    named = rows.join(runs, "run")
+    place = lambda blocks: F.pmod(F.xxhash64("digest", "run"), F.col(blocks)).cast("int")
+    each = lambda blocks: F.sequence(F.lit(0), F.col(blocks) - 1)
+    to = lambda side, i, j: F.struct(F.lit(side).alias("side"), i.alias("i"), j.alias("j"))
+    outside = F.transform(F.when(F.xxhash64("label") != F.col("part"), each("all")).otherwise(F.array().cast("array<int>")), lambda j: to(0, place("minor"), j))
+    everyone = F.transform(each("minor"), lambda i: to(1, i, place("all")))
+    copied = named.withColumn("to", F.explode(F.concat(outside, everyone)))
+    return copied.select(*rows.columns, "to.side", "to.i", "to.j")
+
+
+def open_members(nodes: DataFrame, labels: DataFrame, runs: DataFrame) -> DataFrame:
+    """``run, i, j, side, band, digest, label, n, registers``: rows of the ``runs`` with more than one component, dealt into blocks."""
+    named = with_labels(nodes, labels).select("digest", "label", F.col("n_shingles").alias("n"), "registers")
+    heads = named.select("digest", "label", "registers", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    run = F.xxhash64(F.concat(F.unhex(F.lpad(F.hex("band"), 2, "0")), F.substring("registers", F.col("band") * 2 * BAND + 1, F.lit(2 * BAND))))
+    wanted = cut(runs.select(F.xxhash64("a").alias("run")).distinct())
+    held = cut(heads.select(run.alias("run"), "band", "digest", "label").join(wanted, "run"))
+    return dealt(held, F.lit(1 / BLOCK_ROWS)).drop("label").join(named, "digest").select("run", "i", "j", "side", "band", "digest", "label", "n", "registers")
 
 
 def forest(left: np.ndarray, right: np.ndarray, nodes: int) -> np.ndarray:
@@ -377,19 +421,19 @@ def forest(left: np.ndarray, right: np.ndarray, nodes: int) -> np.ndarray:
 
 
 class Blocks:
-    """Rows of one Arrow table, sorted by group: two blocks of a run, or one with itself."""
+    """Rows of one Arrow table, sorted by group; a group is a block of each side of a run."""
 
     def __init__(self, table: pa.Table) -> None:
-        run, self.i, self.j, self.block = (table[c].to_numpy() for c in ("run", "i", "j", "block"))
+        run, i, j, self.side = (table[c].to_numpy() for c in ("run", "i", "j", "side"))
         self.digest, label = (np.ascontiguousarray(fixed(table[c], 16)).view("S16").ravel() for c in ("digest", "label"))
         self.labels, self.label = np.unique(label, return_inverse=True)
-        new = (run[1:] != run[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])
-        self.starts = np.flatnonzero(np.concatenate([[True], new]))
-        self.ends = np.append(self.starts[1:], len(run))
+        new = (run[1:] != run[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        starts = np.flatnonzero(np.concatenate([[True], new])).tolist()
+        self.groups = list(zip(starts, [*starts[1:], len(run)]))
 
     def sides(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.arange(start, end)
-        return rows[self.block[start:end] == self.i[start]], rows[self.block[start:end] == self.j[start]]
+        side = self.side[start:end]
+        return start + np.flatnonzero(side == 0), start + np.flatnonzero(side == 1)
 
 
 class Likely(Blocks):
@@ -397,48 +441,55 @@ class Likely(Blocks):
 
     def __init__(self, table: pa.Table) -> None:
         super().__init__(table)
-        self.n, self.registers = table["n"].to_numpy(), fixed(table["registers"], 2 * REGISTERS).view(np.uint16)
+        self.band, self.n = table["band"].to_numpy(), table["n"].to_numpy()
+        self.registers = fixed(table["registers"], 2 * REGISTERS).view(np.uint16)
+        self.bands = self.registers.view(np.uint64)
+        self.needed, self.power = needed_registers(), size_class(self.n)
 
-    def compare(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def listed(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The likely ones of some pairs that share a band and no earlier one."""
         small, large = np.minimum(self.n[left], self.n[right]), np.maximum(self.n[left], self.n[right])
-        fits = 100 * small >= PERCENT * large
+        fits = (self.label[left] != self.label[right]) & (100 * small >= PERCENT * large)
         left, right = left[fits], right[fits]
-        parts = [(left[at : at + COMPARED], right[at : at + COMPARED]) for at in range(0, len(left), COMPARED)]
-        likely = [estimate(self.registers[a], self.registers[b], self.n[a], self.n[b]) >= least_estimate() for a, b in parts]
-        taken = np.concatenate([np.empty(0, bool), *likely])
-        return left[taken], right[taken]
-
-    def short(self, few: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All pairs of each of many small groups."""
-        starts, ends = self.starts[few], self.ends[few]
-        for step in range(1, int((ends - starts).max(initial=0))):
-            at, size = starts[ends - starts > step], (ends - starts)[ends - starts > step] - step
-            left = np.repeat(at - np.cumsum(size) + size, size) + np.arange(size.sum())
-            left = left[self.label[left] != self.label[left + step]]
-            yield self.compare(left, left + step)
-
-    def long(self, start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All pairs of a group, a component of its first block at a time."""
-        ours, theirs = self.sides(start, end)
-        ours = ours[np.argsort(self.label[ours], kind="stable")]
-        one = self.i[start] == self.j[start]
-        for own in np.split(ours, np.flatnonzero(np.diff(self.label[ours])) + 1):
-            label = self.label[own[:1]]
-            others = theirs[self.label[theirs] > label if one else self.label[theirs] != label] if len(own) else own
-            some = max(1, 8 * COMPARED // max(1, len(others)))
-            for at in range(0, len(own) if len(others) else 0, some):
-                part = own[at : at + some]
-                yield self.compare(np.repeat(part, len(others)), np.tile(others, len(part)))
+        earlier = np.arange(BANDS) < self.band[left][:, None]
+        fresh = ~((self.bands[left] == self.bands[right]) & earlier).any(axis=1)
+        left, right = left[fresh], right[fresh]
+        likely = (self.registers[left] == self.registers[right]).sum(axis=1) >= self.needed[self.power[left], self.power[right]]
+        return left[likely], right[likely]
+
+    def crossed(self, ours: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The likely ones of all pairs of two blocks of a run."""
+        cross = lambda test, values: test(values[ours][:, None], values[theirs][None])
+        fits = cross(np.not_equal, self.label)
+        fits &= cross(lambda a, b: (100 * a >= PERCENT * b) & (100 * b >= PERCENT * a), self.n)
+        for k in range(self.band[ours[0]]):
+            fits &= cross(np.not_equal, np.ascontiguousarray(self.bands[:, k]))
+        ours, theirs, fits = ours[rows := fits.any(axis=1)], theirs[columns := fits.any(axis=0)], fits[rows][:, columns]
+        equal = np.zeros(fits.shape, np.uint8)
+        for k in range(REGISTERS if len(ours) else 0):
+            equal += cross(np.equal, np.ascontiguousarray(self.registers[:, k])).view(np.uint8)
+        a, b = np.nonzero(fits & (equal >= self.needed[self.power[ours][:, None], self.power[theirs][None]]))
+        return ours[a], theirs[b]
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        few = (self.ends - self.starts <= NEIGHBOURS + 1) & (self.i[self.starts] == self.j[self.starts])
-        found = [self.short(few), *(self.long(a, b) for a, b in zip(self.starts[~few].tolist(), self.ends[~few].tolist()))]
-        for pairs in found:
-            both = [*pairs]
-            if both:
-                left, right = (np.concatenate(x) for x in zip(*both))
-                kept = forest(left, right, len(self.digest))
-                yield self.digest[left[kept]], self.digest[right[kept]]
+        few: list[tuple[np.ndarray, np.ndarray]] = []
+        for start, end in self.groups:
+            ours, theirs = self.sides(start, end)
+            if len(ours) * len(theirs) > COMPARED:
+                yield self.joined(*self.crossed(ours, theirs))
+            elif len(ours):
+                few.append((np.repeat(ours, len(theirs)), np.tile(theirs, len(ours))))
+                if sum(len(x) for x, _ in few) > COMPARED:
+                    yield self.joined(*self.listed(*map(np.concatenate, zip(*few))))
+                    few = []
+        if few:
+            yield self.joined(*self.listed(*map(np.concatenate, zip(*few))))
+
+    def joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        used, ends = np.unique([left, right], return_inverse=True)
+        left, right = ends.reshape(2, -1)
+        kept = forest(left, right, len(used))
+        return self.digest[used[left[kept]]], self.digest[used[right[kept]]]
 
 
 class Alike(Blocks):
@@ -453,30 +504,27 @@ class Alike(Blocks):
         self.mark = np.zeros(len(values), bool)
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for start, end in zip(self.starts.tolist(), self.ends.tolist()):
+        for start, end in self.groups:
             ours, theirs = self.sides(start, end)
             if not len(ours) or not len(theirs):
                 continue
             flat = np.concatenate([self.flat[self.first[r] : self.first[r + 1]] for r in theirs])
             at, lefts, rights = np.append(0, np.cumsum(self.n[theirs])[:-1]), [], []
             for r in ours:
-                apart = self.label[theirs] != self.label[r]
-                if apart.any():
-                    own = self.flat[self.first[r] : self.first[r + 1]]
-                    self.mark[own] = True
-                    common = np.add.reduceat(self.mark[flat], at, dtype=np.int64)
-                    self.mark[own] = False
-                    near = self.label[theirs[apart & (100 * common >= PERCENT * (self.n[theirs] + self.n[r] - common))]]
-                    rights.append(np.unique(near))
-                    lefts.append(np.full(len(rights[-1]), self.label[r]))
-            if lefts:
-                left, right = np.concatenate(lefts), np.concatenate(rights)
-                kept = forest(left, right, len(self.labels))
-                yield self.labels[left[kept]], self.labels[right[kept]]
+                own = self.flat[self.first[r] : self.first[r + 1]]
+                self.mark[own] = True
+                common = np.add.reduceat(self.mark[flat], at, dtype=np.int64)
+                self.mark[own] = False
+                near = (self.label[theirs] != self.label[r]) & (100 * common >= PERCENT * (self.n[theirs] + self.n[r] - common))
+                rights.append(np.unique(self.label[theirs[near]]))
+                lefts.append(np.full(len(rights[-1]), self.label[r]))
+            left, right = np.concatenate(lefts), np.concatenate(rights)
+            kept = forest(left, right, len(self.labels))
+            yield self.labels[left[kept]], self.labels[right[kept]]
 
 
 def in_blocks(rows: DataFrame, partitions: int, kind: type[Likely] | type[Alike]) -> DataFrame:
-    """``a, b``, each once: the links that ``kind`` finds in each group of ``rows``. A group is held at once, two blocks at most."""
+    """``a, b``, each once: the links that ``kind`` finds in each group of ``rows``. A group, that is two blocks, is held at once."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """The rows again, cut only between groups."""
@@ -506,11 +554,11 @@ def in_blocks(rows: DataFrame, partitions: int, kind: type[Likely] | type[Alike]
 
 
 def alike_members(groups: DataFrame, sets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """``digest, label, shingles`` of the nodes of each group, dealt into blocks."""
-    members = with_labels(groups.select(F.col("node").alias("digest"), F.xxhash64("label").alias("run")), labels)
-    sizes = members.join(nodes.select("digest", "n_shingles"), "digest").groupBy("run").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("shingles"))
-    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    return dealt(members.join(sizes.select("run", blocks), "run")).join(sets, "digest").select("run", "i", "j", "block", "digest", "label", "shingles")
+    """``run, i, j, side, digest, label, shingles`` of the nodes of each group, dealt into blocks."""
+    sized = nodes.select("digest", "n_shingles").join(groups.select(F.col("node").alias("digest"), F.xxhash64("label").alias("run")), "digest")
+    members = cut(with_labels(sized, labels))
+    size = F.greatest(F.lit(1 / BLOCK_ROWS), F.col("n_shingles") / BLOCK_SHINGLES)
+    return dealt(members, size).join(sets, "digest").select("run", "i", "j", "side", "digest", "label", "shingles")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -556,13 +604,20 @@ def relabelled(labels: DataFrame, links: DataFrame, left: str, right: str) -> Da
 
 def node_labels(docs: DataFrame, nodes: DataFrame, partitions: int) -> DataFrame:
     """``node, label`` for every node with a confirmed link."""
-    pairs = cut(likely(candidate_pairs(nodes, partitions), nodes))
+    with scratch(docs.sparkSession) as lasting:
+        return cut(linked(docs, nodes, partitions), lasting)
+
+
+def linked(docs: DataFrame, nodes: DataFrame, partitions: int) -> DataFrame:
+    """``node_labels``, in tables that may be removed."""
+    met = cut(met_in_bands(nodes, partitions))
+    pairs = cut(likely(met.where("b IS NOT NULL"), nodes))
     sets = sets_of(docs, nodes, pairs)
-    labels = contract(cut(confirmed(best_partners(pairs), sets)))
+    labels = contract(confirmed(best_partners(pairs), sets))
     open_pairs = cut(spanning(pairs, labels))
     second = confirmed(open_pairs.select("a", "b"), sets)
     labels = relabelled(labels, open_pairs.join(second, ["a", "b"], "left_semi"), "c_a", "c_b")
-    unmet = cut(in_blocks(open_members(nodes, labels), partitions, Likely))
+    unmet = cut(in_blocks(open_members(nodes, labels, met.where("b IS NULL")), partitions, Likely))
     if unmet.isEmpty():
         return labels
     members = alike_members(contract(unmet), sets_of(docs, nodes, unmet), nodes, labels)
@@ -578,7 +633,8 @@ def judged_rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     nodes = cut(grouped)
     labels = node_labels(texts, nodes, partitions)
     member = nodes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "id", "copies", F.coalesce("label", "digest").alias("label"))
-    named = member.groupBy("label").agg(F.min("id").alias("component_id"))
+    member = cut(member)
+    named = cut(member.groupBy("label").agg(F.min("id").alias("component_id")))
     many = member.join(named, "label").where((F.col("copies") > 1) | ~F.col("component_id").eqNullSafe(F.col("id"))).select("digest", "component_id")
     out = rows.drop("registers", "profile").join(many, "digest", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))), labels

@@ -7,9 +7,13 @@ import pytest
 from lexiframe.llm import components, minhash
 
 
+NUMBER = {}
+
+
 def shingles(text):
     raw = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
-    return {tuple(raw[i : i + 5]) for i in range(len(raw) - 4)} if len(raw) >= 5 else {tuple(raw)} if raw else set()
+    found = {tuple(raw[i : i + 5]) for i in range(len(raw) - 4)} if len(raw) >= 5 else {tuple(raw)} if raw else set()
+    return {NUMBER.setdefault(s, len(NUMBER)) for s in found}
 
 
 def brute(rows):
@@ -23,7 +27,7 @@ def brute(rows):
         return i
 
     for i, j in combinations(range(len(rows)), 2):
-        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+        if sets[i] and sets[j] and 175 * len(sets[i] & sets[j]) >= 75 * (len(sets[i]) + len(sets[j])):
             root[find(i)] = find(j)
     least = {}
     for i, (doc_id, _) in enumerate(rows):
@@ -91,15 +95,31 @@ def test_large_group_around_one_text(spark):
 def test_large_group_without_the_text_it_was_made_from(spark):
     draw = random.Random(8)
     words = [f"w{n}" for n in range(150)]
-    rows = [(n, edited(draw, words, 3)) for n in range(400)]
+    rows = [(n, edited(draw, words, 3)) for n in range(1500)]
     assert by_text(r[:3] for r in run(spark, rows)) == by_text(brute(rows))
 
 
+@pytest.mark.parametrize(("partitions", "batch"), [(4, 100), (37, 1000)])
+def test_classes_do_not_depend_on_partitions_or_batches(spark, partitions, batch):
+    draw = random.Random(11)
+    words = [f"w{n}" for n in range(150)]
+    rows = [(n, edited(draw, words, draw.choice((3, 4, 5, 6, 8)))) for n in range(900)]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+        assert by_text(r[:3] for r in run(spark, rows)) == by_text(brute(rows))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_every_pair_is_met_when_runs_span_blocks(spark, monkeypatch):
     draw = random.Random(9)
     words = [f"w{n}" for n in range(200)]
     rows = [(n, edited(draw, words, 4)) for n in range(200)]
     monkeypatch.setattr(minhash, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(minhash, "COMPARED", 64)
     assert by_text(r[:3] for r in run(spark, rows)) == by_text(brute(rows))
 
 
@@ -185,28 +205,34 @@ def test_runs_give_the_same_pairs_however_they_are_cut():
     size = np.full(n, 100)
 
     def pairs(step):
-        runs, out = minhash.RunPairs(), set()
+        runs, out, named = minhash.RunPairs(), set(), set()
         for at in range(0, n, step):
-            a, b = runs.add(key[at : at + step], digest[at : at + step], size[at : at + step])
+            a, b, heads = runs.add(key[at : at + step], digest[at : at + step], size[at : at + step])
             out |= set(zip(a.tolist(), b.tolist()))
-        return out
+            named |= set(heads)
+        return out, named | set(runs.last_head())
 
     head = key[:, : minhash.HEAD]
-    _, of, counts = np.unique(head, axis=0, return_inverse=True, return_counts=True)
-    short = [np.flatnonzero(of == r) for r in range(len(counts)) if counts[r] <= minhash.NEIGHBOURS]
+    heads, of, counts = np.unique(head, axis=0, return_inverse=True, return_counts=True)
+    short = [np.flatnonzero(of == r) for r in range(len(counts)) if counts[r] <= minhash.NEIGHBOURS + 1]
     wanted = {(digest[i], digest[j]) for rows in short for i, j in combinations(rows, 2)}
-    for step in (n, 50, 7):
-        assert wanted <= pairs(step)
+    long = {heads[r].tobytes() for r in range(len(counts)) if counts[r] > minhash.NEIGHBOURS + 1}
+    assert long
+    for step in (n, 50, 7, 1):
+        found, named = pairs(step)
+        assert wanted <= found and named == long | {head[0].tobytes(), head[-1].tobytes()}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("last", [0, 20, 10_000])
+def test_components(spark, monkeypatch, last):
+    monkeypatch.setattr(components, "LAST_EDGES", last)
     draw = random.Random(4)
     edges = [(draw.randrange(60), draw.randrange(60)) for _ in range(45)] + [(n, n + 1) for n in range(100, 160)] + [(200, n) for n in range(201, 260)]
     root = {n: n for e in edges for n in e}
     for _ in range(70):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
-    df = spark.createDataFrame(edges, "a int, b int")
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
     found = {r.node: r.label for r in components.contract(df).collect()}
     wanted = {n: root[n] for a, b in edges if a != b for n in (a, b)}
     assert found.keys() == wanted.keys() and all(wanted[found[n]] == wanted[n] for n in found)
