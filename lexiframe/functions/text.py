@@ -17,6 +17,7 @@ POSITIONAL = "%s"
 TOKEN = r"(%s|:[A-Za-z][A-Za-z0-9_]*|_[A-Z]+_)"
 TAG = r"</?([A-Za-z][A-Za-z0-9]*)"
 ENTITY = r"&[A-Za-z][A-Za-z0-9]*;|&#[0-9]+;"
+ODD_BLANKS = r"^ +| +\z|  +"
 #: Scripts by the code points of their letters.
 SCRIPTS = {
     "latin": r"[A-Za-z]",
@@ -81,6 +82,11 @@ def render_positional(template: Column, values: Sequence[Column]) -> Column:
     return F.array_join(woven, "")
 
 
+def render_widget(template: Column, values: Mapping[str, Column]) -> Column:
+    """``_NAME_`` replaced by each value; other names stay."""
+    return reduce(lambda text, name: F.replace(text, F.lit(f"_{name}_"), values[name].cast("string")), values, template)
+
+
 def tags(value: Column) -> Column:
     """Lower-case names of opening and closing tags, in order."""
     return F.transform(F.regexp_extract_all(value, F.lit(TAG), 1), F.lower)
@@ -101,11 +107,11 @@ def bare_ampersands(value: Column) -> Column:
 
 
 def odd_blanks(value: Column) -> Column:
-    """Blanks at either edge, and repeated ones inside."""
-    return F.regexp_count(value, F.lit(r"^ +| +$|  +"))
+    """Runs of blanks at either edge, and of more than one inside."""
+    return F.regexp_count(value, F.lit(ODD_BLANKS))
 
 
 def fragment_family(key: Column) -> Column:
-    """A numbered key's stem and number, as a struct; the number is null for others."""
+    """A numbered key's stem and number, as a struct; the number is null for others, and for one beyond 64 bits."""
     number = F.regexp_extract(key, r"(\d+)$", 1)
-    return F.struct(F.regexp_replace(key, r"\d+$", "").alias("stem"), F.when(number != "", number.cast("int")).alias("number"))
+    return F.struct(F.regexp_replace(key, r"\d+$", "").alias("stem"), F.when(number != "", number.try_cast("bigint")).alias("number"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexiframe.functions.text import fragment_family
+
 
 def fill_sections(rows: DataFrame, file_key: Sequence[str], order: Sequence[str], heading: Column, name: str) -> DataFrame:
     """``rows`` with the newest heading at or before each row of its file; null before the first."""
@@ -35,6 +37,17 @@ def nest(rows: DataFrame, parent: Sequence[str], key: str, value: str, name: str
     return rows.groupBy(*parent).agg(F.map_from_entries(pairs).alias(name))
 
 
+def assemble_fragments(rows: DataFrame, key: str, value: str, between: str = " ") -> DataFrame:
+    """``stem, fragments, whole``: the values of numbered keys with one stem, joined in order of their numbers.
+
+    Keys without a number are none. A family becomes one row.
+    """
+    numbered = rows.select(fragment_family(F.col(key)).alias("family"), F.col(value).alias("value")).where("family.number IS NOT NULL")
+    parts = F.sort_array(F.collect_list(F.struct("family.number", "value")))
+    whole = numbered.groupBy("family.stem").agg(F.count("*").alias("fragments"), parts.alias("parts"))
+    return whole.select("stem", "fragments", F.array_join("parts.value", between).alias("whole"))
+
+
 def shown_entries(column: Column) -> Column:
     """A map as ``k=v`` parts in order of keys."""
     entries = F.array_sort(F.map_entries(column))

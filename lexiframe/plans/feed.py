@@ -23,7 +23,7 @@ def register(r: Registry) -> None:
     )
     def _(spark, d):
         state = feed.running_state(events(spark, d), ["user_id", "event_type"], "value", ["ts", "event_id"])
-        return feed.run_to_end(state, "state", "complete")
+        return feed.run_to_end(state, "state", "update", ["user_id", "event_type"])
 
     @r.query(
         "stream_change_windows",
@@ -31,7 +31,7 @@ def register(r: Registry) -> None:
         "SELECT date_trunc('day', ts)::TIMESTAMP AS opened, event_type, count(*) AS n FROM events GROUP BY ALL",
     )
     def _(spark, d):
-        found = feed.run_to_end(feed.change_windows(events(spark, d), "ts", LATE, "1 day", ["event_type"]), "windows", "complete")
+        found = feed.run_to_end(feed.change_windows(events(spark, d), "ts", LATE, "1 day", ["event_type"]), "windows", "update", ["opened", "event_type"])
         return found.withColumn("opened", F.col("opened").cast("timestamp_ntz"))
 
     @r.query(
@@ -45,6 +45,36 @@ def register(r: Registry) -> None:
         found = feed.run_to_end(feed.change_sessions(events(spark, d), "ts", LATE, "6 hours", ["user_id"]), "sessions", "complete")
         return found.withColumn("opened", F.col("opened").cast("timestamp_ntz"))
 
+    @r.query(
+        "stream_sliding_windows",
+        "changes of two days, counted each day",
+        """SELECT opened, event_type, count(*) AS n FROM (SELECT event_type, unnest([date_trunc('day', ts)::TIMESTAMP, date_trunc('day', ts)::TIMESTAMP - INTERVAL 1 DAY]) AS opened FROM events)
+           GROUP BY ALL""",
+    )
+    def _(spark, d):
+        windows = feed.change_windows(events(spark, d), "ts", LATE, "2 days", ["event_type"], "1 day")
+        found = feed.run_to_end(windows, "sliding", "update", ["opened", "event_type"])
+        return found.withColumn("opened", F.col("opened").cast("timestamp_ntz"))
+
+    @r.query(
+        "stream_closed_windows",
+        "windows given out once the watermark has passed them, and only then",
+        """SELECT date_trunc('day', ts)::TIMESTAMP AS opened, event_type, count(*) AS n FROM events GROUP BY ALL
+           HAVING date_trunc('day', min(ts))::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY""",
+    )
+    def _(spark, d):
+        found = feed.run_to_end(feed.change_windows(events(spark, d), "ts", "2 days", "1 day", ["event_type"]), "closed", "append")
+        return found.withColumn("opened", F.col("opened").cast("timestamp_ntz"))
+
+    @r.query(
+        "stream_switches",
+        "a state of our own for each key: how often its value changed",
+        """SELECT user_id, count(*) FILTER (was IS NOT NULL AND was <> event_type) AS switches, arg_max(event_type, {'a': ts, 'b': event_id}) AS last
+           FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM events) GROUP BY user_id""",
+    )
+    def _(spark, d):
+        return feed.run_to_end(feed.change_switches(events(spark, d), "user_id", "event_type", ["ts", "event_id"]), "switches", "update", ["user_id"])
+
     @r.query("stream_first_assignment", "keys as they first appear", "SELECT DISTINCT user_id, event_type FROM events")
     def _(spark, d):
         found = feed.run_to_end(feed.first_assignments(events(spark, d), "ts", LATE, ["user_id", "event_type"]), "first", "append")

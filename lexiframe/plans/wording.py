@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from lexiframe.functions import text as tx
+from lexiframe.operators.structure import assemble_fragments
 from lexiframe.registry import Registry
 from lexiframe.session import expose_package
 from lexiframe.sources.tables import table
@@ -19,6 +20,10 @@ def script_sql(column: str) -> str:
 TEMPLATE_SQL = "'Order :orderKey for %s of :order http://x/:o' || o_orderkey % 7 || ' _TOTAL_ 5% ' || CASE WHEN o_orderstatus = 'F' THEN ':days %s' ELSE '_MENU_' END"
 
 
+#: The other language's form, which misses a placeholder for some orders and has one too many for others.
+TRANSLATION_SQL = "'%s _TOTAL_ :order, :orderKey ' || CASE WHEN o_orderkey % 5 = 0 THEN '' WHEN o_orderstatus = 'F' THEN '%s :days' ELSE '_MENU_' END || ' http://x/:o' || CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 7 END"
+
+
 def templates(spark, d):
     orders = table(spark, d, "orders")
     tail = F.when(F.col("o_orderstatus") == "F", ":days %s").otherwise("_MENU_")
@@ -81,12 +86,11 @@ def register(r: Registry) -> None:
     @r.query(
         "template_parity",
         "a translation keeps every placeholder",
-        "SELECT o_orderkey, o_orderpriority LIKE '1%' AS parity FROM orders",
+        f"""WITH t AS (SELECT o_orderkey, {TEMPLATE_SQL} AS one, {TRANSLATION_SQL} AS other FROM orders)
+            SELECT o_orderkey, list_sort(regexp_extract_all(one, '{tx.TOKEN}', 1)) = list_sort(regexp_extract_all(other, '{tx.TOKEN}', 1)) AS parity FROM t""",
     )
     def _(spark, d):
-        one = F.lit("%s of :order in _TOTAL_")
-        other = F.when(F.col("o_orderpriority").startswith("1"), F.lit("_TOTAL_: :order %s")).otherwise(F.lit("_TOTAL_: :order"))
-        return table(spark, d, "orders").select("o_orderkey", tx.same_tokens(one, other).alias("parity"))
+        return templates(spark, d).select("o_orderkey", tx.same_tokens(F.col("template"), F.expr(TRANSLATION_SQL)).alias("parity"))
 
     @r.query(
         "render_named",
@@ -166,11 +170,31 @@ def register(r: Registry) -> None:
     @r.query(
         "whitespace_lint",
         "blanks at edges and doubled ones are reported",
-        "SELECT conv_id, turn, len(regexp_extract_all(' ' || text || '  ', '^ +| +$|  +'))::INT AS odd FROM conversations",
+        f"SELECT doc_id, len(regexp_extract_all(text, '{tx.ODD_BLANKS}'))::INT AS odd, len(regexp_extract_all(' ' || text || '  ', '{tx.ODD_BLANKS}'))::INT AS odd_padded FROM documents",
     )
     def _(spark, d):
         padded = F.concat(F.lit(" "), F.col("text"), F.lit("  "))
-        return table(spark, d, "conversations").select("conv_id", "turn", tx.odd_blanks(padded).alias("odd"))
+        return table(spark, d, "documents").select("doc_id", tx.odd_blanks(F.col("text")).alias("odd"), tx.odd_blanks(padded).alias("odd_padded"))
+
+    @r.query(
+        "render_widget",
+        "O-16: _NAME_ replaced by its value",
+        "SELECT o_orderkey, 'from ' || o_orderkey || ' to ' || o_custkey || ' of ' || o_orderstatus || ' _OTHER_' AS rendered FROM orders",
+    )
+    def _(spark, d):
+        values = {"FIRST": F.col("o_orderkey"), "LAST": F.col("o_custkey"), "ALL": F.col("o_orderstatus")}
+        return table(spark, d, "orders").select("o_orderkey", tx.render_widget(F.lit("from _FIRST_ to _LAST_ of _ALL_ _OTHER_"), values).alias("rendered"))
+
+    @r.query(
+        "fragment_families",
+        "O-20: fragments found by their numbered keys",
+        r"""WITH k AS (SELECT regexp_replace(p_brand || 'text' || p_size, '\d+$', '') AS stem, p_size AS number, p_name FROM part WHERE p_partkey % 9 <> 0)
+            SELECT stem, count(*) AS fragments, string_agg(p_name, ' ' ORDER BY number, p_name) AS whole FROM k GROUP BY stem""",
+    )
+    def _(spark, d):
+        number = F.when(F.col("p_partkey") % 9 != 0, F.col("p_size").cast("string")).otherwise("")
+        rows = table(spark, d, "part").select(F.concat("p_brand", F.lit("text"), number).alias("key"), "p_name")
+        return assemble_fragments(rows, "key", "p_name")
 
     @r.query(
         "literal_decode",

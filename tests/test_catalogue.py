@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiframe.functions import text as tx
 from lexiframe.operators import layers, state, structure
-from lexiframe.sources.catalogue import parse, read_lines
+from lexiframe.sources.catalogue import after_sentinel, parse, read_lines, with_locale
 
 LINES = [
     "<?php",
@@ -55,6 +55,31 @@ def test_every_trap(spark):
     assert parsed.other.count() == len(LINES) - len(found) - 2
 
 
+def test_lines_of_any_length(spark):
+    long = 1_000_000
+    lines = [
+        "$_LANG['a'] = \"" + "v" * long + "\"; # " + "n" * long,
+        "$_LANG['" + "k" * long + "'] = '" + "\\'" * (long // 2) + "';",
+        "$_LANG['a'] = \"" + "\\n" * (long // 2),
+        "$_LANG['" + "k" * long,
+        "$_LANG" + "['a']" * 200_000 + " = \"x\";",
+        "#" + " " * long + "x" + " " * long + "y",
+        "$_LANG['b'] = 'end';",
+    ]
+    parsed = parse(frame(spark, lines))
+    found = {r.line_no: r for r in parsed.assignments.select("line_no", F.length("value").alias("n"), F.length("note").alias("note"), "depth", F.length("topic").alias("topic")).collect()}
+    assert {n: (r.n, r.note, r.depth, r.topic) for n, r in found.items()} == {1: (long, long, 1, None), 2: (long // 2, None, 1, None), 5: (1, None, 200_000, None), 7: (3, None, 1, long + 2)}
+    assert [(r.line_no, r.reason) for r in parsed.quarantine.orderBy("line_no").collect()] == [(3, "unterminated value"), (4, "malformed assignment")]
+
+
+def test_sentinel_and_locale(spark):
+    rows = frame(spark, ["$_LANG['locale'] = \"aa_BB\";", "$_LANG['a'] = 'x';", "$_LANG['locale'] = \"cc_DD\";", "//// END of strings file. Stop", "$_LANG['late'] = 'y';", "$_LANG[broken"])
+    assert [r.line_no for r in after_sentinel(rows).orderBy("line_no").collect()] == [5, 6]
+    assert {r.locale for r in with_locale(parse(rows).assignments).collect()} == {"cc_DD"}
+    assert after_sentinel(frame(spark, LINES)).count() == 0
+    assert {r.locale for r in with_locale(parse(frame(spark, LINES)).assignments).collect()} == {None}
+
+
 def test_null_and_empty_lines(spark):
     parsed = parse(frame(spark, [None, ""]))
     assert (parsed.assignments.count(), parsed.quarantine.count(), parsed.other.count()) == (0, 0, 2)
