@@ -7,9 +7,12 @@ match is intact, so an automaton over all pieces finds every place where a
 match can lie, and only there the regex library's bounded-error matching
 decides. A verified notice may not begin or end inside a word.
 
-A null text is an empty one: no words, no labels, score 0. Repeated rows are
-scanned each on its own, an empty table gives an empty result, and columns
-other than the id and the text are ignored.
+A null text is an empty one: no words, no labels, score 0. Very long texts are
+scanned whole; a seed costs a window of bounded length, wherever it stands, and
+where words neither begin nor end the window is passed over. Of matches of a
+label that overlap, that with fewest edits stays, then the longest, then the
+first. Repeated rows are scanned each on its own, an empty table gives an empty
+result, and columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
@@ -48,6 +51,8 @@ NOTICES = {
 CHARS_PER_EDIT = 9
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 FLATTEN = bytes(32 if b in SEPARATORS else LOWER[b] for b in range(256))
+#: Stands for text beyond a window; found in no notice.
+BEYOND = "\uffff"
 ORIGINAL_WORD = regex.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SPAN = T.ArrayType(
     T.StructType(
@@ -110,18 +115,26 @@ class Scanner:
 
     def fuzzy(self, flat: str) -> list[tuple[int, int, int, Notice]]:
         """(start, end, edits, notice) of every verified notice; of overlapping ones of a label the best."""
-        windows = set()
+        begun: set[tuple[int, int]] = set()
         for end, (length, places) in self.seeds.iter(flat) if self.notices else ():
             for n, offset in places:
-                notice = self.notices[n]
-                start = end + 1 - length - offset
-                windows.add((n, max(0, start - notice.edits), start + len(notice.text) + notice.edits))
-        hits = set()
-        for n, start, end in windows:
-            stop = flat.find(" ", min(end, len(flat)))
-            found = self.notices[n].pattern.search(flat, start, len(flat) if stop < 0 else stop)
-            if found:
-                hits.add((sum(found.fuzzy_counts), found.start(), found.end(), n))
+                begun.add((n, end + 1 - length - offset))
+        hits, padded, known = set(), f" {flat} ", [{} for _ in self.notices]
+        for n, start in begun:
+            notice = self.notices[n]
+            k, stop = notice.edits, start + len(notice.text)
+            # A word begins within k characters of the start, and one ends within k of the end.
+            if padded.find(" ", max(0, start - k), max(0, start + k + 1)) < 0 or padded.find(" ", max(0, stop - k + 1), max(0, stop + k + 2)) < 0:
+                continue
+            first, last = max(0, start - k), min(stop + k + 2, len(flat) + 1)
+            # What follows a window is no boundary; it is more than a match may take in.
+            window = padded[first:last] + BEYOND * (k + 2 if last <= len(flat) else 0)
+            if window not in known[n]:
+                found = notice.pattern.search(window, 1)
+                known[n][window] = found and (sum(found.fuzzy_counts), found.start(), found.end())
+            if known[n][window]:
+                edits, at, till = known[n][window]
+                hits.add((edits, first + at - 1, first + till - 1, n))
         kept: dict[str, list[tuple[int, int, int, Notice]]] = {}
         covered: dict[str, set[int]] = {}
         for edits, start, end, n in sorted(hits, key=lambda h: (h[0], -(h[2] - h[1]), h[1], h[3])):

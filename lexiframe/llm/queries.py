@@ -75,7 +75,7 @@ def op7_language(spark, d):
 
 
 def op4_licenses(spark, d):
-    return scan_licenses(table(spark, d, "documents")).drop("spans")
+    return scan_licenses(table(spark, d, "documents"))
 
 
 def op5_mix(spark, d):

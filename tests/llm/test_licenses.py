@@ -1,4 +1,5 @@
 import random
+from time import perf_counter
 
 from lexiframe.llm.licenses import NOTICES, PHRASES, Notice, Scanner, scan_licenses
 
@@ -60,6 +61,36 @@ def test_notices_with_edits_are_found():
             assert found["score"] >= 1 - edits / len(text)
 
 
+def test_notices_against_all_word_ranges():
+    """Exactly the texts that hold a run of words within the bound have the label; no seed or window is relied on."""
+    draw = random.Random(5)
+    notice = Notice.of("all rights reserved", "reserved")
+    scanner, seen = Scanner({}, {notice.text: notice.label}), set()
+    for _ in range(400):
+        near = list(notice.text)
+        for _ in range(draw.randint(0, 4)):
+            at = draw.randrange(len(near))
+            near[at] = draw.choice(["", "q", " ", near[at] + "z", near[at] + " "])
+        noise = ["".join(draw.choice("al rights") for _ in range(draw.randint(1, 14))) for _ in range(4)]
+        text = " ".join([*noise[:2], "".join(near), *noise[2:]])
+        words = words_of(text)
+        runs = [" ".join(words[i:j]) for i in range(len(words)) for j in range(i + 1, min(len(words), i + 8) + 1)]
+        least = min((distance(run, notice.text) for run in runs if abs(len(run) - len(notice.text)) <= notice.edits), default=99)
+        found = scanner.scan(text.encode())
+        assert (found["labels"] == "reserved") == (least <= notice.edits), text
+        assert min((s["edits"] for s in found["spans"]), default=99) == (least if least <= notice.edits else 99), text
+        seen.add(least)
+    assert {0, 1, 2, 3} <= seen
+
+
+def test_very_long_texts_cost_in_proportion():
+    scanner = Scanner(PHRASES, NOTICES)
+    for text in (b"license" * 150_000, b"license " * 130_000, b"general public " * 70_000):
+        began = perf_counter()
+        scanner.scan(text)
+        assert perf_counter() - began < 30
+
+
 def test_nothing_beyond_the_bound():
     found = Scanner({}, {"all rights reserved": "reserved"}).scan(b"ell righxs reqerved and small rights reservedly")
     assert found["labels"] == "" and found["score"] == 0.0 and found["spans"] == []
