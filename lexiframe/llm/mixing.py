@@ -3,19 +3,23 @@
 Every source gets a target in words. A document is due ``target / source
 size`` copies. Documents have no weights of their own: within a source all
 have equal inclusion odds. The whole part of the copies is certain. The
-fraction p is drawn: with u uniform from a hash of the id, documents are ranked by u / (1 - u) divided by p / (1 - p), and the sample
-is the head of that order whose words fill what the whole copies leave of the
-target. As documents differ in length, the head stops short by part of a
-document; a second head, of the documents that still fit, and one closing
-document, the nearest in length, take up the rest.
+fraction p is drawn: with u uniform from a hash of the id, documents are ranked
+by u / (1 - u) divided by p / (1 - p), and the sample is the head of that order
+whose words fill what the whole copies leave of the target. As documents differ
+in length, the head stops short by part of a document; a second head, of the
+documents that still fit, and one closing document, the nearest in length, take
+up the rest.
 
 All of this is a few thresholds for each source, so documents themselves are
 never shuffled or ordered. Thresholds come from sums over bins of the order;
 only the rows of the one bin in which the head ends are ordered one by one.
 
 Null texts have no words; null sources are one source, the last in order; null
-ids hash as empty. Rows with equal ids and lengths share their draw. An empty
-table gives an empty mix. Other columns are ignored by ``plan_mix`` and kept
+ids hash as empty. Rows with equal ids and lengths are one unit: they share
+their draw and are taken together, and the closing unit is the one whose words
+in all are nearest. Ties of rank are broken by id as text, then by length. A
+very long text is a large unit like any other. An empty table gives an empty
+mix. Other columns are ignored by ``plan_mix`` and kept
 by ``mix``; a column that has the name of one of ours is left as it is.
 """
 
@@ -146,14 +150,16 @@ def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
     left = ~within(F.col("rank"), F.col("key"), "head")
     plan = cut(head_of(ordered, plan, left & (F.col("size") > 0) & (F.col("size") <= F.col("head_gap")), "head_gap", "fill"))
     left_over = left & ~((F.col("size") <= F.col("head_gap")) & within(F.col("rank"), F.col("key"), "fill")) & (F.col("size") > 0)
-    miss = F.abs(F.col("size") - F.col("fill_gap"))
+    unit = ["source", "rank", "key", "size", "fill_gap"]
+    units = ordered.join(sized(plan_side(plan)), F.col("source").eqNullSafe(F.col("p_source"))).where(left_over & (F.col("size") < 2 * F.col("fill_gap")))
+    miss = F.abs(F.col("words") - F.col("fill_gap"))
     nearest = (
-        ordered.join(sized(plan_side(plan)), F.col("source").eqNullSafe(F.col("p_source")))
-        .where(left_over & (miss < F.col("fill_gap")))
+        units.groupBy(*unit).agg(F.sum("size").alias("words"))
+        .where(miss < F.col("fill_gap"))
         .groupBy(F.col("source").alias("n_source"))
         .agg(F.min(F.struct(miss.alias("miss"), "rank", "key", "size")).alias("last"))
         .select("n_source", F.col("last.key").alias("last_key"), F.col("last.size").alias("last_size"))
-    )
+    )
     return cut(plan.join(nearest, F.col("source").eqNullSafe(F.col("n_source")), "left").drop("n_source"))
 
 

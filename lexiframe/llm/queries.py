@@ -163,8 +163,9 @@ h2 AS (SELECT *, gap - coalesce(sum(size) FILTER (first) OVER (PARTITION BY sour
 h3 AS (SELECT *, f > 0 AND NOT first AND size > 0 AND size <= gap2 AS may FROM h2),
 k AS (SELECT *, may AND sum(CASE WHEN may THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank, key) <= gap2 AS second FROM h3),
 k2 AS (SELECT *, gap2 - coalesce(sum(size) FILTER (second) OVER (PARTITION BY source), 0) AS gap3 FROM k),
-k3 AS (SELECT *, f > 0 AND NOT first AND NOT second AND size > 0 AND abs(size - gap3) < gap3 AS near FROM k2),
-z AS (SELECT *, near AND row_number() OVER (PARTITION BY source, near ORDER BY abs(size - gap3), rank, key, size) = 1 AS last FROM k3)
+b AS (SELECT *, CASE WHEN f > 0 AND NOT first AND NOT second AND size > 0 THEN sum(size) OVER (PARTITION BY source, rank, key, size) END AS unit FROM k2),
+k3 AS (SELECT *, coalesce(abs(unit - gap3) < gap3, false) AS near FROM b),
+z AS (SELECT *, near AND dense_rank() OVER (PARTITION BY source, near ORDER BY abs(unit - gap3), rank, key, size) = 1 AS last FROM k3)
 SELECT doc_id, size, source_size, target, size * (whole + (first OR second OR last)::INT)::BIGINT AS taken FROM z
 """
 

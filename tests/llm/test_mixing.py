@@ -80,3 +80,17 @@ def test_hot_source_and_repeated_rows(spark):
 def test_plan_has_no_python(spark):
     plan = mixing.mix(frame(spark, [("a", 5), ("b", 6)]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_against_the_statement(spark, tmp_path):
+    """Equal rows are one unit, for the closing document too."""
+    import duckdb
+
+    from lexiframe.llm.queries import OP5_SQL, op5_mix
+
+    rows = [(i, " ".join(["w"] * (5 + 7 * (i % 10))), f"s{i % 3}") for i in range(10) for _ in range(50)] + [(None, "a b", None), (3, None, "s0")] * 3
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    shown = lambda rows: sorted(tuple(f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
+    assert shown(op5_mix(spark, str(tmp_path)).collect()) == shown(duck.sql(OP5_SQL).fetchall())
