@@ -2,8 +2,10 @@
 
 Vectors get one more component that makes all of them equally long; then the
 largest inner product is the least Euclidean distance. A bounded sample is
-halved again and again into parts of equal size. Each part is a posting list,
-and a vector between parts is written to more than one. To find lists, a
+halved again and again into parts of equal size; then the fullest part is split
+and the emptiest given up until none has much more than its share. Each part is
+a posting list, so lists grow in number with the rows, up to one for each eight
+vectors of the sample, and a vector between parts is written to more than one. To find lists, a
 beam search walks a graph that links each centroid to its neighbours, and
 keeps the lists whose distance is within a ratio of the nearest one's. The
 ratio is fitted on the sample so that nearly all true neighbours are reached.
@@ -15,7 +17,9 @@ must meet.
 
 Vectors that are null, all zero, of another length than most, or have null or
 non-finite components take no part, as queries or candidates. Rows that repeat
-an id and a vector count once. Ties go to the smaller id. An empty table gives
+an id and a vector count once; an id with two vectors is two candidates, and as
+a query it has an answer for each. Ties go to the smaller id. A vector is one
+row however long it is, but a block of them has to fit in a task. An empty table gives
 an empty result. Only the id and the vector are read.
 """
 
@@ -29,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiframe.llm.common import hash_sample, prepared
+from lexiframe.llm.common import cut, hash_sample, prepared
 
 #: Vectors that the index is fitted on, and queries among them that the ratio is fitted on.
 SAMPLE_ROWS, TUNING_QUERIES = 16_384, 256
-#: Vectors for each list, the most lists, lists that a vector is written to, and how much farther the others may be.
-LIST_ROWS, MAX_LISTS, REPLICAS, CLOSURE = 400, 64, 2, 1.15
+#: Vectors for each list, sampled ones for each at least, lists that a vector is written to, and how much farther the others may be.
+LIST_ROWS, LIST_SAMPLE, REPLICAS, CLOSURE = 400, 8, 2, 1.15
+#: A part of the sample is split if it has this many times its share.
+FULLEST = 1.4
 #: Share of the sample's true neighbours that the fitted ratio must reach.
 AIM = 0.98
 #: Links of a centroid in the graph: to its nearest, and to others at random.
@@ -71,7 +77,10 @@ def halves(x: np.ndarray, draw: np.random.Generator) -> np.ndarray:
 
 
 def balanced_centroids(x: np.ndarray, lists: int, seed: int = 1) -> np.ndarray:
-    """Centres of equal parts, got by halving the largest part; two rounds of k-means then smooth the borders."""
+    """Centres of near equal parts: the largest is halved until there are enough, then the fullest is split for the emptiest.
+
+    Equal vectors can't be split, so parts that a split doesn't lessen are left.
+    """
     draw = np.random.default_rng(seed)
     parts = [np.arange(len(x))]
     while len(parts) < lists:
@@ -80,11 +89,20 @@ def balanced_centroids(x: np.ndarray, lists: int, seed: int = 1) -> np.ndarray:
         upper = halves(x[rows], draw)
         parts += [rows[upper], rows[~upper]]
     centroids = np.stack([x[rows].mean(axis=0) for rows in parts])
-    for _ in range(2):
-        owner = squared(x, centroids).argmin(axis=1)
-        filled = np.unique(owner)
-        centroids = np.stack([x[owner == k].mean(axis=0) for k in filled])
-    return centroids
+    owner, left = squared(x, centroids).argmin(axis=1), np.zeros(lists, bool)
+    for _ in range(4 * lists):
+        counts = np.bincount(owner, minlength=lists)
+        full, spare = int(np.where(left, 0, counts).argmax()), int(counts.argmin())
+        if counts[full] <= FULLEST * len(x) / lists or full == spare:
+            break
+        rows = np.flatnonzero(owner == full)
+        upper = halves(x[rows], draw)
+        centroids[full], centroids[spare] = x[rows[~upper]].mean(axis=0), x[rows[upper]].mean(axis=0)
+        changed = squared(x, centroids[[full, spare]])
+        moved = np.isin(owner, (full, spare)) | (changed.min(axis=1) < ((x - centroids[owner]) ** 2).sum(axis=1))
+        owner[moved] = squared(x[moved], centroids).argmin(axis=1)
+        left[full] = (owner == full).sum() >= counts[full] or (owner == spare).sum() >= counts[full]
+    return centroids[np.unique(owner)]
 
 
 def link(centroids: np.ndarray, seed: int = 2) -> np.ndarray:
@@ -178,7 +196,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
     Cuts by rank count rows, so a repeated row would push out another answer.
     """
-    v = F.col(vector_col).cast("array<double>")
+    stored = vectors.schema[vector_col].dataType.simpleString()
+    v = F.col(vector_col) if stored == "array<float>" else F.col(vector_col).cast("array<double>")
     sound = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(v, lambda c: c != 0)
     return vectors.select(F.col(id_col).alias("id"), v.alias("v")).where(F.col("v").isNotNull()).where(sound).distinct()
 
@@ -186,7 +205,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def matrix(column: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.asarray(column.flatten()).reshape(-1, dimension)
+    return np.asarray(column.flatten(), np.float64).reshape(-1, dimension)
 
 
 def fit(vectors: DataFrame, k: int, sample_rows: int = SAMPLE_ROWS) -> Index | None:
@@ -195,7 +214,7 @@ def fit(vectors: DataFrame, k: int, sample_rows: int = SAMPLE_ROWS) -> Index | N
     The driver gets one row for the counts and ``sample_rows`` vectors.
     """
     lengths = vectors.groupBy(F.size("v").alias("d")).agg(
-        F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda t, c: t + c * c)).alias("longest")
+        F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda t, c: t + c.cast("double") * c)).alias("longest")
     )
     most = lengths.orderBy(F.desc("n"), "d").limit(1).collect()
     if not most:
@@ -207,7 +226,7 @@ def fit(vectors: DataFrame, k: int, sample_rows: int = SAMPLE_ROWS) -> Index | N
     own: dict[object, list[int]] = {}
     for at, row in enumerate(taken):
         own.setdefault(row.id, []).append(at)
-    lists = int(min(MAX_LISTS, max(1, n // LIST_ROWS), max(1, len(sample) // 8)))
+    lists = int(max(1, min(n // LIST_ROWS, len(sample) // LIST_SAMPLE)))
     lengthened = np.hstack([sample, np.sqrt(np.maximum(longest**2 - (sample**2).sum(1), 0))[:, None]])
     centroids = balanced_centroids(lengthened, lists)
     index = Index(d, longest, centroids, link(centroids), sample, np.zeros((len(sample), len(centroids)), bool), np.inf, own)
@@ -248,7 +267,7 @@ def in_lists(rows: DataFrame, index: Index, k: int, queries: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), *taken.columns, pa.array(floor[row])], names=["list", "id", "v", "floor"])
 
     fitting = rows.where(F.size("v") == index.dimension)
-    return prepared(fitting).mapInArrow(run, f"list int, id {rows.schema['id'].dataType.simpleString()}, v array<double>, floor double")
+    return prepared(fitting).mapInArrow(run, f"list int, id {rows.schema['id'].dataType.simpleString()}, v {rows.schema['v'].dataType.simpleString()}, floor double")
 
 
 def blocks(rows: DataFrame, own: dict[int, int], others: dict[int, int], own_name: str, other_name: str) -> DataFrame:
@@ -268,7 +287,7 @@ def nearest(vectors: DataFrame, queries: F.Column, k: int, id_col: str = "vec_id
     index = fit(rows, k)
     if index is None:
         return rows.sparkSession.createDataFrame([], f"query_id {kind}, rank int, {id_col} {kind}, score double")
-    stored, sought = in_lists(rows, index, k, False), in_lists(asked, index, k, True)
+    stored, sought = cut(in_lists(rows, index, k, False)), cut(in_lists(asked, index, k, True))
     count = lambda df, most: {r.list: -(-r["n"] // most) for r in df.groupBy("list").agg(F.count("*").alias("n")).collect()}
     blocks_in, chunks_in = count(stored, BLOCK_ROWS), count(sought, CHUNK_QUERIES)
     left = blocks(stored, blocks_in, chunks_in, "block", "chunk").groupBy("list", "block", "chunk")

@@ -86,7 +86,7 @@ def test_lists_are_balanced_and_graph_finds_the_nearest():
     x[:700] = x[0] + 1e-4 * draw.normal(size=(700, 8))
     centroids = ann.balanced_centroids(x, 40)
     sizes = np.bincount(ann.squared(x, centroids).argmin(axis=1))
-    assert sizes.max() <= 6 * len(x) / 40
+    assert sizes.max() <= 2 * len(x) / 40
     index = ann.Index(8, 1.0, centroids, ann.link(centroids), x, np.zeros((2000, len(centroids)), bool), 1.0)
     found = index.walk(x[::7])
     exact = ann.squared(x[::7], centroids)
