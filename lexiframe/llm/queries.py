@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lexiframe.llm import langid, toxicity
 from lexiframe.llm.ann import nearest
 from lexiframe.llm.chat import format_chats, masked_text, read_turns, text_parts
-from lexiframe.llm.common import cut
+from lexiframe.llm.common import cut, shared_folder
 from lexiframe.llm.licenses import scan_licenses
 from lexiframe.llm.minhash import near_duplicates
 from lexiframe.llm.mixing import draws, plan_mix, with_copies
@@ -96,8 +98,9 @@ def op8_neighbours(spark, d):
 
 
 def op9_shards(spark, d):
-    placed = shard_documents(table(spark, d, "documents"), SHARDS)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    docs, path = table(spark, d, "documents"), f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
+    placed = shard_documents(docs, (SHARDS - 1, SHARDS), map_path=path)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "map_version")
 
 
 OP10_SQL = r"""

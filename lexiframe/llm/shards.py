@@ -6,8 +6,9 @@ loads drift. Maps carry a version, and every edit makes a new one.
 
 The map is laid out by the bytes in each slot, so the law that holds is
 ``bytes``: shards are near equal in size. Null key columns hash like any other
-value, a null text has no bytes, equal rows share a slot, an empty table gives
-a map of empty slots, and other columns are ignored.
+value, a null text has no bytes, a very long one is one record of its size,
+equal rows share a slot and rows that tie in a slot are equal, an empty table
+gives a map of empty slots, and other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import heapq
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,8 @@ class SlotMap:
     shard_of: tuple[int, ...]
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(self.version, slot, shard) for slot, shard in enumerate(self.shard_of)]
-        return spark.createDataFrame(rows, "version int, v_slot int, shard int")
+        rows = [(self.version, self.shards, slot, shard) for slot, shard in enumerate(self.shard_of)]
+        return spark.createDataFrame(rows, "version int, shards int, v_slot int, shard int")
 
 
 def lay_out(loads: Sequence[int], shards: int) -> SlotMap:
@@ -48,7 +50,7 @@ def lay_out(loads: Sequence[int], shards: int) -> SlotMap:
     return SlotMap(1, shards, tuple(shard_of))
 
 
-def rebalance(old: SlotMap, loads: Sequence[int], shards: int | None = None, tolerance: float = 0.01) -> SlotMap:
+def rebalance(old: SlotMap, loads: Sequence[int], shards: int | None = None, tolerance: float = 0.001) -> SlotMap:
     """An edited map for new loads or more shards, which moves only what it must.
 
     While some shard is over the mean by more than ``tolerance``, its largest
@@ -88,14 +90,24 @@ def write_map(spark: SparkSession, slot_map: SlotMap, path: str) -> None:
     slot_map.frame(spark).coalesce(1).write.mode("error").parquet(f"{path}/map_version={slot_map.version}")
 
 
+def newest_map(spark: SparkSession, path: str) -> SlotMap | None:
+    """The newest map at ``path``, None if there is none."""
+    try:
+        return read_map(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_map(spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
     """The given version, by default the newest."""
     stored = spark.read.parquet(path)
     if version is None:
         version = stored.agg(F.max("version")).first()[0]
-    rows = stored.where(F.col("version") == version).select("v_slot", "shard").orderBy("v_slot").collect()
+    rows = stored.where(F.col("version") == version).select("v_slot", "shard", "shards").orderBy("v_slot").collect()
     shard_of = tuple(row.shard for row in rows)
-    return SlotMap(version, max(shard_of) + 1, shard_of)
+    return SlotMap(version, rows[0].shards, shard_of)
 
 
 def with_slots(rows: DataFrame, keys: Sequence[str], slots: int = SLOTS) -> DataFrame:
@@ -128,11 +140,13 @@ def place(slotted: DataFrame, slot_map: SlotMap, counts: Sequence[int], order: S
     return numbered.withColumn("slot", F.col("start") + F.col("_n") - 1).drop("_n", "start")
 
 
-def shard_documents(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int | Sequence[int], id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """One row for each document: id, ``size`` (UTF-8 bytes plus 1), ``text_crc32``, ``v_slot``, ``shard``, ``slot``.
 
     With ``map_path``, the newest map stored there is rebalanced to the present
-    loads, or a first one laid out, and the version that was used is stored.
+    loads, or a first one laid out; the new version is stored there, and rows are
+    placed by what is read back. Several numbers of ``shards`` are versions that
+    follow one another, the last of which places the rows.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
@@ -142,11 +156,11 @@ def shard_documents(docs: DataFrame, shards: int, id_col: str = "doc_id", text_c
     )
     slotted = cut(with_slots(rows, (id_col, "text_crc32"), slots))
     sizes, counts = slot_loads(slotted, "size", slots)
-    slot_map = lay_out(sizes, shards)
-    if map_path is not None:
-        spark = docs.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(map_path)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            slot_map = rebalance(read_map(spark, map_path), sizes, shards)
-        write_map(spark, slot_map, map_path)
-    return place(slotted, slot_map, counts, (id_col, "text_crc32", "size"))
+    spark = docs.sparkSession
+    slot_map = newest_map(spark, map_path) if map_path is not None else None
+    for number in [shards] if isinstance(shards, int) else shards:
+        slot_map = rebalance(slot_map, sizes, number) if slot_map else lay_out(sizes, number)
+        if map_path is not None:
+            write_map(spark, slot_map, map_path)
+            slot_map = read_map(spark, map_path, slot_map.version)
+    return place(slotted, slot_map, counts, (id_col, "text_crc32", "size")).withColumn("map_version", F.lit(slot_map.version))

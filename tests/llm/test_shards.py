@@ -1,4 +1,5 @@
 from collections import Counter, defaultdict
+from zlib import crc32
 
 import pytest
 
@@ -68,3 +69,19 @@ def test_stored_versions(spark, tmp_path):
     first, newest = shards.read_map(spark, path, 1), shards.read_map(spark, path)
     assert (first.version, newest.version, newest.shards) == (1, 2, 5)
     assert {b for a, b in zip(first.shard_of, newest.shard_of) if a != b} <= {4}
+
+
+def test_placement_against_loops(spark, tmp_path):
+    """Loads, map and numbers in a shard, counted row by row; equal rows may trade places."""
+    docs = frame(spark, 300)
+    rows = shards.shard_documents(docs, (4, 5), slots=32, map_path=str(tmp_path / "map")).collect()
+    texts = Counter((r.doc_id, len((r.text or "").encode()) + 1, crc32((r.text or "").encode())) for r in docs.collect())
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == texts
+    loads = [0] * 32
+    for r in rows:
+        loads[r.v_slot] += r["size"]
+    held = shards.rebalance(shards.lay_out(loads, 4), loads, 5)
+    at = Counter()
+    for r in sorted(rows, key=lambda r: (r.v_slot, r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.slot)):
+        assert (r.shard, r.slot, r.map_version) == (held.shard_of[r.v_slot], at[r.shard], 2)
+        at[r.shard] += 1
