@@ -11,6 +11,8 @@ Words are runs of other characters than ASCII white space. A null text is an
 empty one, has no words and is rejected by ``few_words``. Repeated rows are
 judged each on its own; an empty table gives an empty result; columns other
 than the id and the text are ignored by ``judge`` and kept by ``keep_clean``.
+A very long text is judged whole, as one row of a batch. Rules that tie keep
+the order in which they were given.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ from lexiframe.llm.common import Measure, keep_rows, long_field, measure_texts
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 LETTERS = bytes(b for b in range(256) if b >= 128 or chr(b).isalpha())
-#: Texts sampled to plan the cascade, and the longest text among them; both only bound the driver's memory.
-SAMPLE_ROWS, SAMPLE_CHARS = 400, 50_000
+#: Texts, about, sampled from the whole table to plan the cascade.
+SAMPLE_ROWS = 400
 
 
 class Page:
@@ -145,10 +147,10 @@ def order_rules(rules: Sequence[Rule], texts: Sequence[bytes]) -> list[Rule]:
 
 
 def plan_cascade(docs: DataFrame, text_col: str, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules in the order planned on at most ``sample_rows`` texts of the first partitions that hold so many."""
-    taken = docs.select(F.col(text_col).cast("string").alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    sample = taken.sample(0.2, 7).limit(sample_rows).collect() or taken.limit(sample_rows).collect()
-    return order_rules(rules, [row.text.encode() for row in sample])
+    """The rules in the order planned on about ``sample_rows`` whole texts, drawn alike from all rows of the table."""
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    taken = docs.select(F.col(text_col).cast("string").alias("text"))
+    return order_rules(rules, [(row.text or "").encode() for row in taken.sample(share, 7).collect()])
 
 
 def first_rejection(rules: Sequence[Rule], page: Page) -> str | None:
