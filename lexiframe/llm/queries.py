@@ -50,6 +50,8 @@ def op2_chat(spark, d):
         F.length(masked).cast("long").alias("loss_chars"),
         F.sha2(masked, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        "attachment_tokens",
     )
 
 
@@ -144,7 +146,8 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')))::BIGINT AS formatted_chars
+       sum(24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')))::BIGINT AS formatted_chars,
+       0::BIGINT AS n_attachments, 0::BIGINT AS attachment_tokens
 FROM m GROUP BY conv_id
 """
 
