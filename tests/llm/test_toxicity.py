@@ -64,3 +64,38 @@ def test_trees_learn_and_isotonic_rises():
     knots, rate = toxicity.isotonic(draw.random(200), draw.integers(0, 2, 200))
     assert (np.diff(rate) > 0).all() and (np.diff(knots) > 0).all()
     assert toxicity.isotonic(np.array([0.1, 0.2, 0.3]), np.array([1, 0, 1]))[1].tolist() == [0.5, 1.0]
+
+
+def test_trees_against_plain_loops():
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(300, 4))
+    trees = toxicity.grow(x, (x[:, 0] + x[:, 1] ** 2 > 0.7).astype(int), trees=12)
+    for row, found in zip(x, trees.raw(x)):
+        total = trees.bias
+        for feature, threshold, value in zip(trees.feature, trees.threshold, trees.value):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+            total += value[node - len(feature)]
+        assert abs(total - found) < 1e-9
+
+
+def test_features_against_plain_loops():
+    lexicon = toxicity.Lexicon({b"wretch": 3.0, b"vile": 2.5}, frozenset({b"wretch"}))
+    draw = np.random.default_rng(7)
+    parts = ["you", "idiot", "VILE", "wretchedness", "wretch", "1d10t", "fine", "day!", "so?", "noooo", "tu,", "Été"]
+    for _ in range(60):
+        raw = " ".join(draw.choice(parts, draw.integers(0, 30)))
+        found = dict(zip(toxicity.FEATURES, toxicity.features(raw.encode(), toxicity.words_of(raw.encode()), lexicon)))
+        words = "".join(c if c.isalpha() else " " for c in raw.lower()).split()
+        insult = [w in ("idiot",) for w in words]
+        learnt = [w in ("wretch", "vile") for w in words]
+        person = [w in ("you", "tu") for w in words]
+        near = sum((a or b) and any(person[max(0, i - 4) : i + 5]) for i, (a, b) in enumerate(zip(insult, learnt)))
+        letters = [c for c in raw if c.isascii() and c.isalpha()]
+        n = max(1, len(words))
+        assert np.isclose(found["insult_density"], sum(insult) / n) and np.isclose(found["learnt_density"], sum(learnt) / n)
+        assert np.isclose(found["near_second_person"], np.log1p(near)) and np.isclose(found["second_person"], sum(person) / n)
+        assert np.isclose(found["capitals"], sum(c.isupper() for c in letters) / max(1, len(letters)))
+        assert np.isclose(found["stems"], np.log1p(sum(w.startswith("wretch") for w in words)))
+        assert np.isclose(found["exclamations"], raw.count("!") / max(1, len(raw.encode())))
