@@ -8,8 +8,9 @@ from. With few languages the code is exhaustive; with many, codewords are
 drawn so that any two differ in many bits. If the two best languages are
 nearly as good, the text is flagged as ambiguous.
 
-The classifiers learn from a bounded sample of labelled rows on the driver;
-whole texts are used, there and in prediction. A null text, or one without a
+The classifiers learn from a bounded sample of labelled rows on the driver,
+``sample_rows`` in all, which have to fit there; whole texts are used, there
+and in prediction. Languages that tie are taken by name, and are ambiguous. A null text, or one without a
 letter, is ``und`` with score 0, and so is every text if nothing was learnt.
 Repeated rows get equal answers, an empty table gives an empty result, and
 columns other than those named are ignored.
@@ -31,8 +32,8 @@ from pyspark.sql import types as T
 from lexiframe.llm.common import LOWER, Measure, hash_share, keep_rows, measure_texts, training_row
 
 UNDETERMINED = "und"
-#: Rows learnt from in all, shared evenly by the languages, and the longest text among them.
-SAMPLE_ROWS, SAMPLE_CHARS = 4000, 30_000
+#: Rows learnt from in all, shared evenly by the languages.
+SAMPLE_ROWS = 4000
 BUCKETS = 1 << 16
 #: Counts of up to so many languages are broadcast.
 BROADCAST_LANGUAGES = 10_000
@@ -167,7 +168,7 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     of_language = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = few.withColumn("at", F.row_number().over(of_language)).where(F.col("at") <= share).select("id").limit(sample_rows)
     text = F.col(text_col).cast("string")
-    taken = docs.where(F.col(lang_col).isNotNull() & text.isNotNull() & (F.length(text) <= SAMPLE_CHARS))
+    taken = docs.where(F.col(lang_col).isNotNull() & text.isNotNull())
     taken = taken.select(F.col(id_col).alias("id"), text.alias("text"), F.col(lang_col).cast("string").alias("lang"))
     return taken.join(F.broadcast(chosen.distinct()), "id", "left_semi").orderBy("id").limit(sample_rows).collect()
 

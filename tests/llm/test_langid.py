@@ -80,3 +80,28 @@ def test_long_texts_are_summed_in_blocks(monkeypatch):
 def test_ambiguous_between_two():
     model = langid.Model(("aa", "bb"), langid.codewords(2), np.zeros((langid.BUCKETS + 1, 1), np.float32), np.ones(1))
     assert model.predict([b"any text"])[2].tolist() == [True]
+
+
+def test_decoding_against_plain_loops():
+    model = langid.train([b"kato mira", b"schung ein", b"zed qua"] * 6, ["aa", "bb", "cc"] * 6)
+    for raw in (b"kato schung", b"mira qua", b"zed", b"Ein  KATO!"):
+        clean = langid.cleaned(raw)
+        total = [0.0] * model.code.shape[1]
+        for i in range(len(clean) - 2):
+            bucket = ((clean[i] << 16 | clean[i + 1] << 8 | clean[i + 2]) * 2_654_435_761 % 2**32) >> 16
+            total = [t + float(w) for t, w in zip(total, model.weights[bucket])]
+        out = [t / (len(clean) - 2) + float(b) for t, b in zip(total, model.weights[-1])]
+        loss = [sum(r * np.log1p(np.exp(-o * bit)) for r, o, bit in zip(model.reliability, out, word)) for word in model.code]
+        odds = [np.exp(-x) for x in loss]
+        languages, score, _ = model.predict([raw])
+        best = max(range(3), key=odds.__getitem__)
+        assert languages == [model.languages[best]] and np.isclose(score[0], odds[best] / sum(odds), atol=1e-5)
+
+
+def test_only_texts_in_one_language_are_kept(spark):
+    model = langid.Model(("aa", "bb"), langid.codewords(2), np.zeros((langid.BUCKETS + 1, 1), np.float32), np.ones(1))
+    sure = langid.train([b"kato mira", b"schung ein"] * 20, ["aa", "bb"] * 20)
+    docs = frame(spark, [(1, "kato mira kato", "aa", "x"), (2, "12 34", None, "x"), (None, None, None, "x")])
+    assert langid.keep_identified(docs, model).count() == 0
+    assert [r.doc_id for r in langid.keep_identified(docs, sure, least_score=0.6).collect()] == [1]
+    assert [r.doc_id for r in langid.keep_identified(docs, langid.learn(docs.limit(0))).collect()] == [1]

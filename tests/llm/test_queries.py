@@ -1,8 +1,11 @@
 """The registered queries on small tables, against SQL where there is some; and the pipeline against its parts."""
 
 import duckdb
+import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from lexiframe.llm.queries import catalogue
 
@@ -62,3 +65,61 @@ def test_pipeline_stages(spark):
 def test_pipeline_on_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls, repeated ids and rows, a text of a megabyte, and columns with names of ours; a row is kept or dropped whole."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    own = [("digest", "string"), ("label", "string"), ("size", "int"), ("doc", "int"), ("id", "int"), ("kept", "boolean")]
+    usual = docs.where("length(text) > 400").orderBy("doc_id").limit(60)
+    long = usual.agg(F.concat_ws(" ", F.collect_list("text")).alias("text")).select(F.lit(9000).cast("long").alias("doc_id"), F.expr("substring(repeat(text, 20), 1, 1000000)").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    nulls = usual.limit(4).select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("n_chars"))
+    none = nulls.withColumn("text", F.lit(None).cast("string"))
+    odd = usual.unionByName(usual.limit(5)).unionByName(long).unionByName(nulls).unionByName(none)
+    odd = odd.withColumns({name: F.lit(None).cast(kind) for name, kind in own})
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    columns, before = docs.columns, {(r.doc_id, r.text) for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        after = {(r.doc_id, r.text) for r in docs.collect()}
+        assert docs.columns == columns and after and after <= before and not any(text is None for _, text in after)
+        before = after
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
+#: What SQL can say of queries that have no statement.
+PARTS = {
+    "op3_toxicity": "SELECT doc_id FROM documents",
+    "op4_licenses": r"""
+        WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        p AS (SELECT doc_id, w, list_filter(generate_series(1, len(w)), lambda i: w[i] = 'cc' AND w[i + 1] = 'by') AS cc,
+                     list_filter(generate_series(1, len(w)), lambda i: w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license') AS gpl,
+                     list_filter(generate_series(1, len(w)), lambda i: w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved') AS res FROM t)
+        SELECT doc_id, len(w) AS n_words, len(cc) + len(gpl) + len(res) AS n_base, list_min(cc || gpl || res) - 1 AS first_word, list_max(cc || gpl || res) - 1 AS last_word,
+               concat_ws(',', CASE WHEN len(cc) > 0 THEN 'cc-by' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END, CASE WHEN len(res) > 0 THEN 'reserved' END) AS base_labels FROM p""",
+    "op7_language": "SELECT doc_id FROM documents",
+    "op9_shards": "SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, 'bytes' AS law FROM documents",
+}
+
+
+@pytest.mark.parametrize("name", PARTS)
+def test_parts_match_sql(spark, duck, name):
+    wanted = duck.sql(PARTS[name])
+    rows = catalogue().builders()[name](spark, FOLDER).select(*wanted.columns).collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, wanted.fetchall()))
+
+
+def test_neighbours_of_the_registered_query(spark, duck):
+    """Recall against exact search over the same table."""
+    rows = duck.sql("SELECT vec_id, embedding FROM embeddings").fetchall()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    found = {}
+    for r in catalogue().builders()["op8_neighbours"](spark, FOLDER).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for at in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[at]
+        score[at] = -np.inf
+        hits += len(found[ids[at]] & set(ids[np.lexsort((ids, -score))[:20]].tolist()))
+    assert len(found) == (ids % 20 == 0).sum() and hits >= 0.9 * 20 * len(found)
