@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from lexiframe.llm import langid
+from lexiframe.llm.common import remove, shared_folder
 from lexiframe.llm.minhash import keep_one_of_each
 from lexiframe.llm.mixing import mix
 from lexiframe.llm.pieces import encode_texts, load_pieces
@@ -24,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined by a model that learns from this stage's input."""
+    """Documents in one language, as judged by a model that learns from this stage's input."""
     return langid.keep_identified(docs, langid.learn(docs))
 
 
@@ -55,11 +56,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage over ``documents``; what the others return is written to the shared folder and read from there."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
-    place = f"{folder}/corpus-{uuid.uuid4().hex}"
+    """The last stage over ``documents``; what the others return is written to the shared folder and read from there.
+
+    Only the folder that the result is read from stays.
+    """
+    place, done = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}", None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{name}")
         docs = spark.read.parquet(f"{place}/{name}")
+        if done:
+            remove(spark, f"{place}/{done}")
+        done = name
     return STAGES[-1][1](spark, docs, sf_dir)

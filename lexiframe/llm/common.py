@@ -121,8 +121,13 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield outer
     finally:
         _scratch.reset(token)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)  # PySpark itself can't remove files of a shared store
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark writes to; PySpark has no call for it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def hash_share(id_col: str) -> F.Column:

@@ -43,6 +43,8 @@ EPOCHS, RATE, DECAY = 20, 0.5, 1e-6
 VALIDATION = 5
 #: A text is ambiguous if the best language is not this much likelier than the next.
 MARGIN = 0.1
+#: The pipeline keeps texts whose language has this score at least.
+LEAST_SCORE = 0.9
 #: Bytes scored at once.
 BLOCK = 1 << 20
 LETTER = regex.compile(r"\p{L}")
@@ -193,7 +195,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return measure_texts(docs, id_col, text_col, make, fields)
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is determined, with all their columns; ambiguous ones stay."""
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` in one language, with all their columns.
+
+    Texts without a letter, ambiguous ones and those with a lower score than
+    ``least_score`` are dropped. If nothing was learnt there is no verdict, and
+    all rows with a letter stay.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return keep_rows(docs, text_col, lambda: lambda texts: [language != UNDETERMINED for language in shared.value.predict(texts)[0]])
+
+    def accept(texts: list[bytes]) -> list[bool]:
+        if not shared.value.languages:
+            return [LETTER.search(t.decode()) is not None for t in texts]
+        languages, score, ambiguous = shared.value.predict(texts)
+        return [name != UNDETERMINED and s >= least_score and not a for name, s, a in zip(languages, score, ambiguous)]
+
+    return keep_rows(docs, text_col, lambda: accept)
