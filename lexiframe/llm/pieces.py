@@ -45,8 +45,8 @@ BASE, LENGTH_KEY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 HEAD_BITS = 20
 HEAD_SHIFT = np.uint64(64 - HEAD_BITS)
 NEVER = np.iinfo(np.int32).max
-#: Units remembered by a worker, characters cut into units at once, and cells of a batch's substring table.
-CACHED_UNITS, STRETCH, CELLS = 600_000, 1 << 19, 1 << 19
+#: Words and units remembered by a worker, characters cut into them at once, and cells of a batch's substring table.
+CACHED, STRETCH, CELLS = 700_000, 1 << 19, 1 << 19
 
 
 def powers(n: int) -> np.ndarray:
@@ -111,18 +111,22 @@ class KeyTable:
         self.used = self.begin[1:] > self.begin[:-1]
         self.run = int((self.begin[1:] - self.begin[:-1]).max(initial=0))
 
-    def probe(self, key: np.ndarray, missing: int) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys are in the table, and their values; ``missing`` for the others."""
-        found, out = np.zeros(key.shape, bool), np.full(key.shape, missing, np.int64)
-        maybe = np.nonzero(self.used[key >> HEAD_SHIFT])
-        asked = key[maybe]
-        first = self.begin[asked >> HEAD_SHIFT]
-        for step in range(self.run):
-            at = np.minimum(first + step, len(self.keys) - 1)
-            same = np.flatnonzero(self.keys[at] == asked)
-            place = tuple(axis[same] for axis in maybe)
-            found[place], out[place] = True, self.values[at[same]]
-        return found, out
+    def probe(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``key`` the keys of the table stand, in order, and their values."""
+        place = np.flatnonzero(self.used.take(self.head(key)))
+        asked = key.take(place)
+        at = self.begin.take(self.head(asked))
+        same = self.keys.take(at) == asked
+        for _ in range(1, self.run):
+            other = np.flatnonzero(~same)
+            at[other] = np.minimum(at[other] + 1, len(self.keys) - 1)
+            same[other] = self.keys[at[other]] == asked[other]
+        hit = np.flatnonzero(same)
+        return place.take(hit), self.values.take(at.take(hit))
+
+    @staticmethod
+    def head(key: np.ndarray) -> np.ndarray:
+        return (key >> HEAD_SHIFT).view(np.int64)
 
 
 @dataclass
@@ -162,6 +166,7 @@ class Pieces:
         self.table = KeyTable(np.concatenate(keys), np.concatenate(key_ids))
         self.shown = [self.piece_bytes(i) for i in range(len(self.pieces))]
         self.rank = {}
+        self.verdicts: np.ndarray | None = None
         if self.bpe:
             self.prepare_merges(normal)
 
@@ -242,6 +247,22 @@ class Pieces:
     def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each pair of pieces stays two pieces when its code points are merged from scratch.
 
+        Pairs met before are remembered: each has one place, where the newest stays.
+        """
+        if self.verdicts is None:
+            self.verdicts = np.full(1 << HEAD_BITS, -1, np.int64)
+        pair = left * (len(self.pieces) + 1) + right
+        place = KeyTable.head(self.mixed(pair))
+        known = self.verdicts.take(place)
+        new = np.flatnonzero(known >> 1 != pair)
+        if len(new):
+            known[new] = pair[new] * 2 + self.stay_apart(left[new], right[new])
+            self.verdicts[place[new]] = known[new]
+        return known % 2 == 1
+
+    def stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The verdicts of ``apart``, by merging.
+
         Both sides are merged step by step in order of priority; the pair is
         spoilt if the two edge pieces would merge before either changes.
         """
@@ -252,8 +273,9 @@ class Pieces:
         while len(rows):
             a, b = left[rows], right[rows]
             next_a, next_b = right_edge[1][a, i], left_edge[1][b, j]
-            key = right_edge[0][a, i] * n + left_edge[0][b, j]
-            across = self.merges.probe(self.mixed(key), NEVER)[1]
+            across = np.full(len(rows), NEVER)
+            merging, ranks = self.merges.probe(self.mixed(right_edge[0][a, i] * n + left_edge[0][b, j]))
+            across[merging] = ranks
             spoilt = (across < next_a) & (across <= next_b)
             fine[rows[spoilt]] = False
             go = ~spoilt & ((next_a < NEVER) | (next_b < NEVER))
@@ -277,24 +299,22 @@ class Pieces:
             span = min(end, self.longest)
             sizes = np.arange(span, 0, -1)
             sub = hashes[:, end, None] - hashes[:, end - span : end] * self.powers[sizes]
-            key = self.keys_of(sub, sizes)
-            found, ids = self.table.probe(key, self.unknown)
+            place, ids = self.table.probe(self.keys_of(sub, sizes).ravel())
+            row, column = np.divmod(place, span)
+            known = np.zeros(n, bool)
+            known[row[column == span - 1]] = True
             if self.bpe:
-                hard |= (found & self.open[ids]).any(axis=1)
-                step = np.where(found, np.float32(0), np.float32(-np.inf))
-                row, column = np.nonzero(found & (best[:, end - span : end] > -np.inf))
-                start = end - sizes[column]
-                follows = start > 0
-                fits = self.result[ids[row, column]].copy()
-                fits[follows] &= self.apart(piece[row[follows], start[follows]], ids[row[follows], column[follows]])
-                step[row[~fits], column[~fits]] = -np.inf
-            else:
-                step = np.where(found, self.score[ids], np.float32(-np.inf))
-            alone = ~found[:, -1]
-            step[alone, -1] = 0 if self.bpe else self.unknown_score
-            total = best[:, end - span : end] + step
+                hard[row[self.open[ids]]] = True
+                fits = self.result[ids] & (best[row, end - span + column] == 0)
+                follows = np.flatnonzero(fits & (column > span - end))
+                fits[follows] = self.apart(piece[row[follows], end - span + column[follows]], ids[follows])
+                row, column, ids = row[fits], column[fits], ids[fits]
+            total, named = np.full((n, span), -np.inf, np.float32), np.full((n, span), self.unknown)
+            total[row, column] = best[row, end - span + column] + (0 if self.bpe else self.score[ids])
+            named[row, column] = ids
+            total[~known, -1] = best[~known, end - 1] + (0 if self.bpe else self.unknown_score)
             choice = total.argmax(axis=1)
-            best[:, end], piece[:, end], back[:, end] = total[rows, choice], ids[rows, choice], sizes[choice]
+            best[:, end], piece[:, end], back[:, end] = total[rows, choice], named[rows, choice], sizes[choice]
         hard |= ~np.isfinite(best[:, length])
         out = np.full((n, length), -1, np.int32)
         count, at = np.zeros(n, int), np.full(n, length)
@@ -346,7 +366,7 @@ class Pieces:
         return text
 
     def encode(self, texts: Sequence[str], cache: dict[str, bytes]) -> list[np.ndarray]:
-        """The ids of whole texts; ``cache`` has the units met so far, and units that all the texts lack are encoded together."""
+        """The ids of whole texts; ``cache`` has what was met so far, and what all the texts lack is encoded together."""
         out: list[list[bytes]] = [[] for _ in texts]
         waiting: list[tuple[int, list[str]]] = []
         held = 0
@@ -354,7 +374,7 @@ class Pieces:
             if text and self.dummy_prefix:
                 text = " " + text
             for part in stretches(text) if self.cuttable else [text] * bool(text):
-                waiting.append((k, self.unit.findall(part) if self.cuttable else [part]))
+                waiting.append((k, self.words(part)))
                 held += len(part)
                 if held > 4 * STRETCH:
                     self.flush(waiting, out, cache)
@@ -363,21 +383,38 @@ class Pieces:
         found = [np.frombuffer(b"".join(parts), np.int32) for parts in out]
         return found if self.bytes else [self.collapsed(ids) for ids in found]
 
+    def words(self, part: str) -> list[str]:
+        """The keys under which the units of a stretch are cached, or words of one unit and more, where these are split by single spaces."""
+        if not self.cuttable:
+            return [" " + part]
+        if part[0] == " " and "  " not in part:
+            return part[1:].split(" ")
+        return [key_of(unit) for unit in self.unit.findall(part)]
+
     def collapsed(self, ids: np.ndarray) -> np.ndarray:
         """Unknown pieces that touch, as one."""
         unknown = ids == self.unknown
         return ids[~(unknown & np.concatenate([[False], unknown[:-1]]))] if len(ids) else ids
 
     def flush(self, waiting: list[tuple[int, list[str]]], out: list[list[bytes]], cache: dict[str, bytes]) -> None:
-        needed = set().union(*(units for _, units in waiting))
+        needed = set().union(*(keys for _, keys in waiting))
         fresh = needed.difference(cache)
-        if len(cache) + len(fresh) > CACHED_UNITS:
-            recent = {u: cache[u] for u in needed if u in cache}
+        if len(cache) + len(fresh) > CACHED:
+            recent = {key: cache[key] for key in needed if key in cache}
             cache.clear()
             cache.update(recent)
-        cache.update(self.encode_units(list(fresh)))
-        for k, units in waiting:
-            out[k].append(b"".join(map(cache.__getitem__, units)))
+        split: dict[str, list[str]] = {}
+        for key in fresh:
+            own = [key_of(unit) for unit in self.unit.findall(unit_of(key))] if key[:1] != " " else [key]
+            if own != [key]:
+                split[key] = own
+        units = fresh.difference(split).union(*split.values()).difference(cache)
+        encoded = self.encode_units(list(map(unit_of, units)))
+        cache.update((key, encoded[unit_of(key)]) for key in units)
+        for word, keys in split.items():
+            cache[word] = b"".join([cache[key] for key in keys])
+        for k, keys in waiting:
+            out[k].append(b"".join([cache[key] for key in keys]))
         waiting.clear()
         if not self.cuttable:
             cache.clear()
@@ -387,6 +424,15 @@ class Pieces:
         return text[1:] if self.dummy_prefix and text[:1] == " " else text
 
 
+def key_of(unit: str) -> str:
+    """A unit after one space without that space, any other after a space more than it has."""
+    return unit[1:] if unit[:1] == " " and unit[1:2] != " " else " " + unit
+
+
+def unit_of(key: str) -> str:
+    return key[1:] if key[:1] == " " else " " + key
+
+
 def stretches(text: str) -> Iterator[str]:
     """The text in parts of about ``STRETCH`` characters, cut before spaces, where no unit is cut."""
     at = 0

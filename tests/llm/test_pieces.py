@@ -70,7 +70,7 @@ def test_cache_and_stretches_change_nothing(model, monkeypatch):
     texts = [noise(draw, 400) for _ in range(60)]
     whole = [ids.tolist() for ids in model.encode(texts, {})]
     monkeypatch.setattr(pieces, "STRETCH", 16)
-    monkeypatch.setattr(pieces, "CACHED_UNITS", 20)
+    monkeypatch.setattr(pieces, "CACHED", 20)
     monkeypatch.setattr(pieces, "CELLS", 100)
     assert [ids.tolist() for ids in model.encode(texts, {})] == whole
 
