@@ -14,7 +14,9 @@ every prefix exactly one piece survives. Pieces of equal priority (runs of
 spaces) leave that open, and units that hold one are merged one pair at a time.
 
 Code points outside the vocabulary become byte pieces, or the unknown piece.
-A null text is an empty one and has no ids. Repeated rows are encoded alike,
+A null text is an empty one and has no ids. Very long texts are cut between
+units; a very long unit is cut into overlapping windows that advance together
+(BPE), or takes a step for each of its code points (unigram). Repeated rows are encoded alike,
 an empty table gives an empty result, and columns other than the id and the
 text are ignored. The model file is read on the driver.
 """
@@ -45,6 +47,8 @@ BASE, LENGTH_KEY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 HEAD_BITS = 20
 HEAD_SHIFT = np.uint64(64 - HEAD_BITS)
 NEVER = np.iinfo(np.int32).max
+#: In a BPE model, units longer than twice a window are cut into windows, which begin ``WINDOW_STEP`` apart and overlap by ``OVERLAP`` or more.
+WINDOW_STEP, OVERLAP = 240, 64
 #: Words and units remembered by a worker, characters cut into them at once, and cells of a batch's substring table.
 CACHED, STRETCH, CELLS = 700_000, 1 << 19, 1 << 19
 
@@ -166,6 +170,7 @@ class Pieces:
         self.table = KeyTable(np.concatenate(keys), np.concatenate(key_ids))
         self.shown = [self.piece_bytes(i) for i in range(len(self.pieces))]
         self.rank = {}
+        self.lengths = np.array([len(p) if kind == NORMAL else 1 for p, kind in zip(self.pieces, self.kinds)])
         self.verdicts: np.ndarray | None = None
         if self.bpe:
             self.prepare_merges(normal)
@@ -350,6 +355,11 @@ class Pieces:
         for unit in units:
             by_length[len(unit)].append(unit)
         out = {}
+        window = WINDOW_STEP + max(OVERLAP, 2 * self.longest)
+        for length in [n for n in by_length if self.bpe and n > 2 * window]:
+            for unit in by_length.pop(length):
+                word = unit.replace(" ", SPACE)
+                out[unit] = self.spelled(word, self.joined(word, window))
         for length, own in by_length.items():
             step = max(1, CELLS // max(1, length * self.longest))
             for first in range(0, len(own), step):
@@ -359,6 +369,36 @@ class Pieces:
                     out[unit] = self.spelled(unit.replace(" ", SPACE), row[length - n :] if n else None) if special else row[length - n :].tobytes()
         return out
 
+    def joined(self, word: str, window: int) -> list[int] | None:
+        """Piece ids of a long word from those of windows of it; none if it has to be merged one pair at a time.
+
+        Windows that agree on a piece are joined there. Every two neighbours in
+        the result are neighbours in a window, so they stay apart, and only one
+        sequence is such. Where windows agree on none, pairs are merged.
+        """
+        codes = code_points(word, 1)[0]
+        starts = [*range(0, len(codes) - window, WINDOW_STEP), len(codes) - window]
+        rows = max(1, CELLS // (window * self.longest))
+        ids, at = np.empty(0, np.int32), np.empty(0, int)
+        out: list[int] = []
+        for first in range(0, len(starts), rows):
+            own = starts[first : first + rows]
+            found, count, _ = self.viterbi(np.stack([codes[s : s + window] for s in own]))
+            if not count.all():
+                return None
+            for start, row, n in zip(own, found, count.tolist()):
+                new = row[window - n :]
+                new_at = start + np.concatenate([[0], np.cumsum(self.lengths[new[:-1]])])
+                if start:
+                    mine, theirs = np.intersect1d(at, new_at, assume_unique=True, return_indices=True)[1:]
+                    same = np.flatnonzero(ids[mine] == new[theirs])
+                    if not len(same):
+                        return None
+                    out += ids[: mine[same[0]]].tolist()
+                    new, new_at = new[theirs[same[0]] :], new_at[theirs[same[0]] :]
+                ids, at = new, new_at
+        return out + ids.tolist()
+
     def normalised(self, text: str) -> str:
         text = text.replace(SPACE, " ")
         if self.squeeze:

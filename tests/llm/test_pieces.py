@@ -1,4 +1,5 @@
 import random
+import time
 from pathlib import Path
 
 import pytest
@@ -53,6 +54,35 @@ def test_ids_are_the_library_s(model):
         assert model.decode(ids.tolist()) == library.decode(ids.tolist()) == text.replace("▁", " ")
 
 
+@needs_model
+def test_long_units_in_windows(model):
+    """Without a space: letters, scripts, runs of one piece and of odd lengths, and a megabyte in seconds."""
+    library = spm.SentencePieceProcessor(model_file=PIECES_PATH)
+    draw = random.Random(5)
+    texts = ["".join(draw.choice(letters) for _ in range(4000)) for letters in ("etaoinshrdlu", "abcé中文。ß0", "ab", "0123456789", "/:.-_")]
+    texts += ["ab" * 3000, "x" * 5000, "license" * 900, "the" * 1201 + "é", "<html>" * 700, "=" * 3001]
+    for text, ids in zip(texts, model.encode(texts, {})):
+        assert ids.tolist() == library.encode(text), text[:20]
+    long = "".join(draw.choice("etaoinshrdlu/") for _ in range(1_000_000))
+    began = time.process_time()
+    ids = model.encode([long], {})[0].tolist()
+    assert time.process_time() - began < 40
+    assert ids == library.encode(long)
+
+
+@needs_model
+def test_windows_join_where_they_agree(model):
+    draw = random.Random(7)
+    window = pieces.WINDOW_STEP + max(pieces.OVERLAP, 2 * model.longest)
+    joined = 0
+    for letters in ("etaoinshrdlu", "aehilnorst", "中文的一是不了人我在"):
+        word = "".join(draw.choice(letters) for _ in range(3000))
+        ids = model.joined(word, window)
+        joined += ids is not None
+        assert ids is None or ids == model.merged(word)
+    assert joined >= 2
+
+
 @pytest.mark.parametrize("kind", [pieces.UNIGRAM, pieces.BPE])
 @pytest.mark.parametrize("byte_fallback", [True, False])
 def test_models_of_both_kinds_by_hand(kind, byte_fallback):
