@@ -25,6 +25,8 @@ from lexiframe.llm.common import cut
 
 #: Slots; the map and the loads have so many rows whatever the table's size.
 SLOTS = 4096
+#: Equal rows dealt out by one task at once.
+BLOCK = 10_000
 
 
 @dataclass(frozen=True)
@@ -124,20 +126,26 @@ def slot_loads(slotted: DataFrame, size_col: str, slots: int = SLOTS) -> tuple[l
 
 
 def place(slotted: DataFrame, slot_map: SlotMap, counts: Sequence[int], order: Sequence[str]) -> DataFrame:
-    """``slotted`` with ``shard`` and ``slot``, a number in the shard that is gapless from 0.
+    """The columns ``order`` and ``v_slot`` of ``slotted`` with ``shard`` and ``slot``, a number in the shard that is gapless from 0.
 
-    Rows are numbered inside their virtual slot, which no task need exceed, and
-    each slot starts where its shard's earlier slots end. The map has one row
-    for each virtual slot, so it can be broadcast at any size of the table.
+    Rows equal in ``order`` are counted before they are shuffled and dealt out
+    again in blocks, so a row that makes up much of the table burdens no task.
+    Different rows are numbered inside their virtual slot, and each slot starts
+    where its shard's earlier slots end. The map has one row for each virtual
+    slot, so it can be broadcast at any size of the table.
     """
     starts, ends = [], [0] * slot_map.shards
     for v_slot, shard in enumerate(slot_map.shard_of):
         starts.append((v_slot, shard, ends[shard]))
         ends[shard] += counts[v_slot]
     offsets = slotted.sparkSession.createDataFrame(starts, "v_slot int, shard int, start long")
-    within = Window.partitionBy("v_slot").orderBy(*order)
-    numbered = slotted.withColumn("_n", F.row_number().over(within)).join(F.broadcast(offsets), "v_slot")
-    return numbered.withColumn("slot", F.col("start") + F.col("_n") - 1).drop("_n", "start")
+    earlier = Window.partitionBy("v_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = slotted.groupBy("v_slot", *order).agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / BLOCK))))
+    dealt = blocks.repartition("v_slot", *order, "_block").withColumn("_first", F.col("_block") * BLOCK)
+    rows = dealt.withColumn("_at", F.explode(F.sequence("_first", F.least(F.col("_first") + BLOCK, F.col("_n")) - 1)))
+    placed = rows.join(F.broadcast(offsets), "v_slot").withColumn("slot", F.col("start") + F.col("_before") + F.col("_at"))
+    return placed.select("v_slot", *order, "shard", "slot")
 
 
 def shard_documents(docs: DataFrame, shards: int | Sequence[int], id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS, map_path: str | None = None) -> DataFrame:

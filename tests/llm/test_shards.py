@@ -26,6 +26,20 @@ def test_near_equal_and_gapless(spark, skew):
     assert {r.text_crc32 for r in rows if r.doc_id % 7 == 0 and r.doc_id < 10_000} == {0}
 
 
+def test_a_row_that_is_a_third_of_the_table(spark, monkeypatch):
+    """It is counted before the shuffle, dealt out in blocks, and still numbered without a gap."""
+    monkeypatch.setattr(shards, "BLOCK", 7)
+    rest = frame(spark, 200).select("doc_id", "text")
+    docs = rest.unionByName(spark.range(100).selectExpr("CAST(NULL AS bigint) AS doc_id", "'hot' AS text"))
+    rows = shards.shard_documents(docs, 3, slots=16).collect()
+    hot = sorted(r.slot for r in rows if r.doc_id is None)
+    assert len(rows) == 300 and len(hot) == 100 and hot == list(range(hot[0], hot[0] + 100))
+    places = defaultdict(list)
+    for r in rows:
+        places[r.shard].append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
 def test_reruns_agree(spark):
     placed = lambda: sorted(shards.shard_documents(frame(spark, 300), 4).collect())
     assert placed() == placed()
